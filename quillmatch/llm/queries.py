@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash
+from . import bpe, flac, langid, packing, quality, simhash
 from .common import remainder_is_one, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +37,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), window=1024, with_ids=False)
 
 
-QUERIES: dict[str, Query] = {"op1_quality": op1_quality, "op2_language": op2_language, "op5_simhash": op5_simhash, "op6_packing": op6_packing}
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
+def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = flac.write_media(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return flac.read_media(stored, keep=["doc_id", "n_bytes"])
+
+
+QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_language": op2_language,
+    "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
+    "op8_bpe": op8_bpe,
+    "op9_flac": op9_flac,
+}
 
 #: DuckDB SQL of those queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
