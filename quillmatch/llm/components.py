@@ -7,11 +7,34 @@ written to the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
+
+
+def spanning_edges(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Those links (a, b) that join two components; label holds the components so far and is updated.
+
+    a is sorted.  All links of one row are merged at once, and links within a component are passed
+    over, so a dense group takes a few merges.
+    """
+    edges: list[tuple[int, int]] = []
+    while True:
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return edges
+        x = a[0]
+        others = b[: np.searchsorted(a, x, "right")]
+        roots, first = np.unique(label[others], return_index=True)
+        edges += [(x, y) for y in others[first]]
+        merged = np.append(roots, label[x])
+        label[np.isin(label, merged)] = merged.min()
+
+
 #: A node is a hub if it has over 1/HUB_SHARE of all edge ends, so there are fewer than 2 * HUB_SHARE hubs.
 HUB_SHARE = 1000
 

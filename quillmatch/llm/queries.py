@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, langid, packing, quality, simhash
+from . import bpe, embeddings, flac, langid, packing, quality, simhash
 from .common import remainder_is_one, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.read_media(stored, keep=["doc_id", "n_bytes"])
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -53,7 +57,27 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op8_bpe": op8_bpe,
     "op9_flac": op9_flac,
+    "op10_embeddings": op10_embeddings,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_embeddings": """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), first AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, f.component_id, coalesce(v.vec_id = f.component_id, false) AS kept
+FROM embeddings v LEFT JOIN counted c ON v.vec_id = c.a LEFT JOIN first f ON v.vec_id = f.node
+""",
+}

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, append_columns, as_bytes, texts, without
-from .components import components
+from .components import components, spanning_edges
 
 CHOSEN = 3
 CELL_ROWS = 4096
@@ -138,8 +138,7 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
 def linked(left: np.ndarray, right: np.ndarray | None, radius: int) -> np.ndarray:
     """A spanning forest of the links within left, or between left and right, as rows (a, b); values are unsigned.
 
-    Compares blocks of 512.  All links of one row are merged at once, and pairs that hang together
-    already are passed over, so a dense group takes a few merges.
+    Compares blocks of 512.
     """
     both = left if right is None else np.concatenate([left, right])
     split = 0 if right is None else len(left)
@@ -153,18 +152,7 @@ def linked(left: np.ndarray, right: np.ndarray | None, radius: int) -> np.ndarra
             good = np.bitwise_count(both[a] ^ both[b]) <= radius
             if right is None:
                 good &= a < b
-            a, b = a[good], b[good]
-            while True:
-                apart = label[a] != label[b]
-                a, b = a[apart], b[apart]
-                if not len(a):
-                    break
-                x = a[0]
-                others = b[: np.searchsorted(a, x, "right")]
-                roots, first = np.unique(label[others], return_index=True)
-                edges += [(x, y) for y in others[first]]
-                merged = np.append(roots, label[x])
-                label[np.isin(label, merged)] = merged.min()
+            edges += spanning_edges(a[good], b[good], label)
     return both.view(np.int64)[np.array(edges, np.int64).reshape(-1, 2)]
 
 
