@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from .common import append_columns, as_bytes, texts, tokenizer_path
 from .encoding import by_bytes
 
-CACHE = 400_000
+CACHE = 200_000
 PAIRS = 1_000_000
 
 
@@ -59,6 +60,30 @@ def byte_letters() -> list[str]:
     return out
 
 
+_MARKS = frozenset(".,;:!?")
+
+
+class TwoGenerations(dict):
+    """A cache of at most twice ``size`` entries and those of the last call; what is in use outlives a change of generation."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def prepare(self, wanted: set, compute) -> None:
+        """Makes all of wanted present; compute maps a list of keys to their values."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        missing = wanted.difference(self)
+        known = missing.intersection(self.old)
+        self.update((k, self.old[k]) for k in known)
+        new = list(missing.difference(known))
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            self.update(zip(part, compute(part), strict=True))
+
+
 class SpeculativeBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -72,6 +97,7 @@ class SpeculativeBPE:
         self.merges: dict[tuple[str, str], int] = {}
         for rank, m in enumerate(model["merges"]):
             self.merges.setdefault(tuple(m) if isinstance(m, list) else tuple(m.split(" ")), rank)
+        self.sign = os.path.commonprefix(list(self.added))  # in every string of an added token
         self.added_at = regex.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         split = next(p["pattern"]["Regex"] for p in file["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words_of = regex.compile(split).findall
@@ -79,8 +105,8 @@ class SpeculativeBPE:
         self.longest = max(map(len, self.vocab))
         self.pair_ok: dict[int, bool] = {}
         self.spelled: dict[int, tuple[str, ...]] = {}
-        self.cache: dict[str, tuple[str, str]] = {}
-        self.word_cache: dict[str, list[int]] = {}
+        self.cache: TwoGenerations = TwoGenerations(CACHE)
+        self.word_cache: TwoGenerations = TwoGenerations(CACHE)
         self.exact_merges = self.proposed = 0
 
     def symbols(self, word: str) -> list[str]:
@@ -92,24 +118,16 @@ class SpeculativeBPE:
     def merge(self, symbols: list[str]) -> list[int]:
         """Exact BPE: always the leftmost pair of the lowest rank."""
         s, rank = list(symbols), self.merges.get
-        while len(s) > 1:
-            best, at = None, -1
-            for i in range(len(s) - 1):
-                r = rank((s[i], s[i + 1]))
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            a, b = s[at], s[at + 1]
-            out, i = [], 0
-            while i < len(s):
-                if i < len(s) - 1 and s[i] == a and s[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            s = out
+        none = len(self.merges)
+        ranks = [rank(pair, none) for pair in zip(s, s[1:], strict=False)]
+        while ranks and (low := min(ranks)) < none:
+            i = ranks.index(low)
+            s[i : i + 2] = [s[i] + s[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((s[i - 1], s[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((s[i], s[i + 1]), none)
         return [self.vocab[x] for x in s if x in self.vocab]
 
     def propose(self, word: str) -> list[int]:
@@ -168,17 +186,21 @@ class SpeculativeBPE:
 
     def words(self, text: str) -> list[str]:
         """The words of a text without added tokens."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        return self.words_of("".join(c.lower() for c in text) if not text.isascii() else text.lower())
+        if text.isascii():
+            if text.isalpha():
+                return [text.lower()]
+            if text[-1:] in _MARKS and text[:-1].isalpha():
+                return [text[:-1].lower(), text[-1]]
+            return self.words_of(text.lower())
+        return self.words_of("".join([c.lower() for c in unicodedata.normalize("NFC", text)]))
 
     def _segments(self, piece: str) -> list[str | int]:
         """Words, and ids of added tokens."""
-        if self.added_at is None or not (found := list(self.added_at.finditer(piece))):
-            return list(self.words(piece))
+        if self.sign not in piece or self.added_at is None:
+            return self.words(piece)
         out: list[str | int] = []
         at = 0
-        for m in found:
+        for m in self.added_at.finditer(piece):
             out += self.words(piece[at : m.start()])
             out.append(self.added[m[0]])
             at = m.end()
@@ -187,12 +209,8 @@ class SpeculativeBPE:
     def pieces(self, pieces: Iterable[str]) -> list[list[int]]:
         """Ids of pieces between white space."""
         parts = [self._segments(p) for p in pieces]
-        new = list({w for p in parts for w in p if isinstance(w, str)}.difference(self.word_cache))
-        if len(self.word_cache) + len(new) > CACHE:
-            self.word_cache.clear()
-            new = list({w for p in parts for w in p if isinstance(w, str)})
-        self.word_cache.update(zip(new, self.encode_words(new), strict=True))
         known = self.word_cache
+        known.prepare({w for p in parts for w in p if isinstance(w, str)}, self.encode_words)
         return [[i for w in p for i in (known[w] if isinstance(w, str) else (w,))] for p in parts]
 
     def encode(self, text: str) -> list[int]:
@@ -206,19 +224,17 @@ class SpeculativeBPE:
     def rendered(self, data: list[str]) -> list[tuple[int, str, str]]:
         """Of each text: the number of ids, the ids and the tokens, each joined by one space."""
         split = [between_spaces(t) for t in data]
-        distinct = {p for s in split for p in s}
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list(distinct.difference(self.cache))
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            for p, ids in zip(part, self.pieces(part), strict=True):
-                self.cache[p] = (" ".join(map(str, ids)), self.decode(ids))
-        out = []
+        distinct: set[str] = set()
+        for s in split:
+            distinct.update(s)
+        self.cache.prepare(distinct, lambda new: [(" ".join(map(str, ids)), self.decode(ids)) for ids in self.pieces(new)])
+        get, out = self.cache.__getitem__, []
         for s in split:
-            got = list(map(self.cache.__getitem__, s))
-            ids = " ".join([x for x, _ in got if x])
-            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join([y for x, y in got if x])))
+            if not s:
+                out.append((0, "", ""))
+                continue
+            ids, tokens = map(" ".join, zip(*map(get, s), strict=True))
+            out.append((ids.count(" ") + 1, ids, tokens))
         return out
 
 
