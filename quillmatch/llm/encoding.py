@@ -1,26 +1,20 @@
-"""Byte-level BPE ids of whole texts through the tokenizers library, with a cache of pieces.
+"""Byte-level BPE ids of whole texts.
 
-The vocabulary's pre-tokeniser never joins a character to the one after it
-across a single space or line feed but for the space before a word, so a text
-in which no two white-space characters meet, and which has none but spaces and
-line feeds, is encoded piece by piece.  Any other text goes to the library whole.
+The ids are those of the tokenizers library for the vocabulary's JSON file.
+Where its rank file lies beside it, texts are encoded by the tiktoken library
+from that, which gives the same ids at several times the speed (a test compares
+them over every code point); a text that spells out an added token, which only
+the first library knows, is left to it.
 """
 
 from __future__ import annotations
 
+import base64
+import json
 import os
-import re
 
 import numpy as np
 
-PIECE = re.compile(r" ?[^ \n]+|\n| ")
-ODD = re.compile(r"\s\s|[^\S \n]")
-CACHE = 500_000
-
-
-def _id_bytes(encodings: list) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in encodings]
-
 
 class ByteEncoder:
     def __init__(self, path: str):
@@ -30,26 +24,29 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.cache: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return _id_bytes(self.tokenizer.encode_batch(texts, add_special_tokens=False))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        pieces = [None if ODD.search(t) else PIECE.findall(t) for t in texts]
-        distinct: set[str] = set()
-        for p in pieces:
-            if p:
-                distinct.update(p)
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list(distinct.difference(self.cache))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            self.cache.update(zip(part, self.whole(part), strict=True))
-        get = self.cache.__getitem__
-        return [self.whole([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, pieces, strict=True)]
+        with open(path, encoding="utf-8") as f:
+            self.added = [a["content"] for a in json.load(f)["added_tokens"]]
+        self.fast = None
+        ranks = path.removesuffix(".json") + ".tiktoken"
+        if path.endswith(".json") and os.path.exists(ranks):
+            import public_tokenizers
+            import tiktoken
+
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding(os.path.basename(ranks), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+    def exact(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if self.fast is None or any(a in text for a in self.added):
+            return self.exact(text)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+    def count(self, text: str) -> int:
+        return len(self.encode(text)) // 4
 
 
 _SHARED: dict[str, ByteEncoder] = {}

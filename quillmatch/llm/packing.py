@@ -147,8 +147,8 @@ def pack(
         for batch in batches:
             data, names = texts(batch.column(1)), batch.column(0).to_pylist()
             for lo, hi in by_bytes(data):
-                for doc, ids in zip(names[lo:hi], coder.encode([x.decode("utf-8", "replace") for x in data[lo:hi]]), strict=True):
-                    ids += end
+                for doc, text in zip(names[lo:hi], data[lo:hi], strict=True):
+                    ids = coder.encode(text.decode("utf-8", "replace")) + end
                     total, whole = len(ids) // 4, len(ids) // (4 * window) * window
                     for start in range(0, whole, window):
                         close([(doc, start, ids[4 * start : 4 * (start + window)], total)])
