@@ -39,7 +39,9 @@ LPC_ORDER = 4
 LPC_BITS = 10
 #: The fixed predictors of the format.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
-BATCH_BYTES = 3_000_000
+BATCH_BYTES = 1_500_000
+#: Frames that the writer works on at once.
+WRITE_FRAMES = 256
 
 
 def _crc_table(poly: int, bits: int) -> np.ndarray:
@@ -259,8 +261,8 @@ def encode_streams(payloads: list[bytes]) -> list[bytes]:
             by_size.setdefault(min(BLOCK, len(data) - at), []).append((i, at))
     bodies: dict[tuple[int, int], bytes] = {}
     for n, where in by_size.items():
-        for j in range(0, len(where), 1024):
-            some = where[j : j + 1024]
+        for j in range(0, len(where), WRITE_FRAMES):
+            some = where[j : j + WRITE_FRAMES]
             x = np.frombuffer(b"".join([payloads[i][at : at + n] for i, at in some]), np.uint8).reshape(-1, n).astype(np.int64) - 128
             bodies.update(zip(some, _bodies(x), strict=True))
     frames: list[bytes] = []
