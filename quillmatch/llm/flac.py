@@ -39,7 +39,7 @@ LPC_ORDER = 4
 LPC_BITS = 10
 #: The fixed predictors of the format.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 2_000_000
 #: Frames that the writer works on at once.
 WRITE_FRAMES = 256
 
@@ -90,11 +90,11 @@ def payload(text: bytes) -> bytes:
 
 
 def _fold(r: np.ndarray) -> np.ndarray:
-    return np.where(r < 0, -2 * r - 1, 2 * r)
+    return (r << 1) ^ (r >> 31)
 
 
 def _rice(u: np.ndarray, first: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best parameter of each partition and the bits of all; u[:, :first] are warm-up samples and count nothing."""
+    """The best of the parameters about the mean for each partition, and the bits of all; u[:, :first] are warm-up samples and count nothing."""
     frames, n = u.shape
     each = n // parts
     count = np.full(parts, each)
@@ -102,15 +102,13 @@ def _rice(u: np.ndarray, first: int, parts: int) -> tuple[np.ndarray, np.ndarray
     body = u.copy()
     body[:, :first] = 0
     body = body.reshape(frames, parts, each)
+    guess = np.floor(np.log2(np.maximum(body.sum(2) / np.maximum(count, 1), 1))).astype(np.int32)
     best = k_best = None
-    for k in range(9):
-        bits = (body >> k).sum(2) + (1 + k) * count
-        if k:
-            better = bits < best
-            best, k_best = np.where(better, bits, best), np.where(better, k, k_best)
-        else:
-            best, k_best = bits, np.zeros_like(bits)
-    return k_best, best.sum(1) + 4 * parts
+    for step in (-1, 0, 1):
+        k = np.clip(guess + step, 0, 13)
+        bits = (body >> k[:, :, None]).sum(2) + (1 + k) * count
+        best, k_best = (bits, k) if best is None else (np.where(bits < best, bits, best), np.where(bits < best, k, k_best))
+    return k_best.astype(np.int64), best.sum(1) + 4 * parts
 
 
 def _lpc(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,10 +130,11 @@ def _lpc(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _residual(x: np.ndarray, coefficients: np.ndarray, shift: np.ndarray) -> np.ndarray:
     p = coefficients.shape[1]
-    out = x.astype(np.int64)
-    if p:
-        guess = sum(coefficients[:, i : i + 1] * x[:, p - 1 - i : x.shape[1] - 1 - i] for i in range(p))
-        out[:, p:] -= guess >> shift[:, None]
+    out = x.copy()
+    guess = coefficients[:, :1] * x[:, p - 1 : -1]
+    for i in range(1, p):
+        guess += coefficients[:, i : i + 1] * x[:, p - 1 - i : x.shape[1] - 1 - i]
+    out[:, p:] -= guess >> shift[:, None]
     return out
 
 
@@ -154,19 +153,20 @@ def _bodies(x: np.ndarray) -> list[bytes]:
     """The subframe of each row of samples, padded to whole bytes."""
     frames, n = x.shape
     parts = 8 if n == BLOCK else 1
-    x = x.astype(np.int64)
-    zero = np.zeros(frames, np.int64)
-    sums, choices = [], []
+    x = x.astype(np.int32)
+    sums, difference = [], x
     for p in range(5):
-        r = _residual(x, np.tile(np.array(FIXED[p], np.int64), (frames, 1)).reshape(frames, p), zero)
-        sums.append(np.abs(r[:, p:]).sum(1) + 128 * p)
-        choices.append(r)
+        sums.append(np.abs(difference).sum(1) + 128 * p)
+        difference = np.diff(difference, axis=1)
     fixed = np.argmin(np.stack(sums), 0)
     coefficients, shift = _lpc(x)
-    r4 = _residual(x, coefficients, shift)
-    kind = np.where(fixed < 5, fixed, 0)
-    residual = np.stack(choices)[fixed, np.arange(frames)]
-    folded = _fold(residual)
+    r4 = _residual(x, coefficients.astype(np.int32), shift.astype(np.int32))
+    kind = fixed.copy()
+    folded = x.copy()
+    for p in range(5):
+        rows = np.flatnonzero(fixed == p)
+        if len(rows):
+            folded[rows, p:] = _fold(np.diff(x[rows], p, axis=1))
     k = np.zeros((frames, parts), np.int64)
     size = np.zeros(frames, np.int64)
     for p in range(5):
@@ -174,11 +174,12 @@ def _bodies(x: np.ndarray) -> list[bytes]:
         if len(rows):
             k[rows], bits = _rice(folded[rows], p, parts)
             size[rows] = bits + 8 + 8 * p + 6
-    k4, bits4 = _rice(_fold(r4), LPC_ORDER, parts)
+    r4 = _fold(r4)
+    k4, bits4 = _rice(r4, LPC_ORDER, parts)
     size4 = bits4 + 8 + 8 * LPC_ORDER + 6 + 9 + LPC_ORDER * LPC_BITS
     use = size4 < size
     kind[use], size[use], k[use] = 5, size4[use], k4[use]
-    folded[use] = _fold(r4[use])
+    folded[use] = r4[use]
     same = (x == x[:, :1]).all(1)
     verbatim = size >= 8 + 8 * n
     kind[verbatim] = 6
@@ -191,10 +192,9 @@ def _bodies(x: np.ndarray) -> list[bytes]:
     heads = np.array([8, 9, 10, 11, 12, 31 + LPC_ORDER, 1, 0])
     out.put(start, heads[kind] << 1, 8)
     raw = x & 255
-    for c in (6, 7):
-        rows = np.flatnonzero(kind == c)
-        for j in range(n if c == 6 else 1):
-            out.put(start[rows] + 8 + 8 * j, raw[rows, j], 8)
+    for rows, stored in ((np.flatnonzero(kind == 6), n), (np.flatnonzero(kind == 7), 1)):
+        at = (start[rows] + 8)[:, None] + np.arange(8 * stored)
+        out.bits[at] = np.unpackbits(raw[rows, :stored].astype(np.uint8), axis=1)
     each = n // parts
     for c in range(6):
         rows = np.flatnonzero(kind == c)
@@ -226,9 +226,10 @@ def _bodies(x: np.ndarray) -> list[bytes]:
         live[:, p:] = True
         stop, low, ks = (before + q)[live], u[live], ks[live]
         out.bits[stop] = 1
+        last = stop + ks
         for b in range(int(kk.max(initial=0))):
-            has = ks > b
-            out.bits[(stop + ks - b)[has]] = ((low >> b) & 1)[has]
+            has = np.flatnonzero((ks > b) & (low >> b & 1).astype(bool))
+            out.bits[last[has] - b] = 1
     packed = np.packbits(out.bits).tobytes()
     ends = (start + whole) // 8
     return [packed[a:b] for a, b in zip((start // 8).tolist(), ends.tolist(), strict=True)]
@@ -263,7 +264,7 @@ def encode_streams(payloads: list[bytes]) -> list[bytes]:
     for n, where in by_size.items():
         for j in range(0, len(where), WRITE_FRAMES):
             some = where[j : j + WRITE_FRAMES]
-            x = np.frombuffer(b"".join([payloads[i][at : at + n] for i, at in some]), np.uint8).reshape(-1, n).astype(np.int64) - 128
+            x = np.frombuffer(b"".join([payloads[i][at : at + n] for i, at in some]), np.uint8).reshape(-1, n).astype(np.int32) - 128
             bodies.update(zip(some, _bodies(x), strict=True))
     frames: list[bytes] = []
     owner: list[int] = []
