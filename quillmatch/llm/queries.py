@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, flac, langid, packing, quality, simhash
+from . import bpe, ctw, embeddings, flac, langid, packing, quality, simhash
 from .common import remainder_is_one, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", remainder_is_one("doc_id", 3).alias("held_out"), "lang_pred", "score")
 
 
+def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), remainder_is_one("doc_id", 5))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words=4, radius=4, keep=["doc_id"])
@@ -53,6 +57,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
+    "op3_ctw": op3_ctw,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_bpe": op8_bpe,
