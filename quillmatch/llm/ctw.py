@@ -200,7 +200,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
             rest = (rest1 + 0.5) / (rest0 + rest1 + 1)
             weighted = np.logaddexp(own, split) - math.log(2)
         weight = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-        nodes[d] = (key, *(x.astype(np.float32) for x in (weight, estimate, rest)))
+        nodes[d] = (key, weight.astype(np.float32), estimate, rest)
         below = (key, zeros, ones, weighted)
     tree = Tree(depth, [np.unique(k >> np.uint64(8)) for k, _ in levels], nodes, [])
     for d, (keys, _) in enumerate(levels):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, embeddings, flac, langid, packing, quality, simhash
+from . import bpe, ctw, embeddings, flac, langid, licenses, packing, quality, simhash, tokencounts
 from .common import remainder_is_one, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op3_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents"), remainder_is_one("doc_id", 5))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    first = F.coalesce(F.array_min(F.transform("matches", lambda m: m["first_sentence"])), F.lit(-1).cast("long"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("matches").cast("long").alias("n_matches"), first.alias("first_sentence"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words=4, radius=4, keep=["doc_id"])
@@ -41,6 +47,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), window=1024, with_ids=False)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after the edits that redact personal data."""
+    docs = tokencounts.find_edits(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id", "text"])
+    counted = tokencounts.count(docs, keep=["doc_id", "text", "edits"])
+    after = tokencounts.recount(counted, keep=["doc_id", "n_tokens"])
+    return after.select("doc_id", "n_tokens", "n_edits", "tokens_after", "chars_after", F.sha2("edited_text", 256).alias("text_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
 
@@ -58,8 +72,10 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
     "op3_ctw": op3_ctw,
+    "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_token_counts": op7_token_counts,
     "op8_bpe": op8_bpe,
     "op9_flac": op9_flac,
     "op10_embeddings": op10_embeddings,
@@ -67,6 +83,7 @@ QUERIES: dict[str, Query] = {
 
 #: DuckDB SQL of those queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op4_licenses": licenses.oracle(),
     "op10_embeddings": """
 WITH RECURSIVE valid AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
