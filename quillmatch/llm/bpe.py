@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from .common import append_columns, as_bytes, texts, tokenizer_path
 from .encoding import by_bytes
 
-CACHE = 200_000
+CACHE = 400_000
 PAIRS = 1_000_000
 
 
@@ -103,6 +103,9 @@ class SpeculativeBPE:
         self.words_of = regex.compile(split).findall
         self.letters = byte_letters()
         self.longest = max(map(len, self.vocab))
+        self.reach: dict[str, int] = {}  # the longest token by its first three letters
+        for t in self.vocab:
+            self.reach[t[:3]] = max(len(t), self.reach.get(t[:3], 2))
         self.pair_ok: dict[int, bool] = {}
         self.spelled: dict[int, tuple[str, ...]] = {}
         self.cache: TwoGenerations = TwoGenerations(CACHE)
@@ -132,17 +135,23 @@ class SpeculativeBPE:
 
     def propose(self, word: str) -> list[int]:
         """The longest token at each place; the last one carries the mark of the word's end."""
-        s = "".join([self.letters[b] for b in word.encode("utf-8")])
-        n, get, out, i = len(s), self.vocab.get, [], 0
+        s = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode("utf-8")])
+        n, get, reach, suffix, out, i = len(s), self.vocab.get, self.reach, self.suffix, [], 0
+        most = n - 1 if suffix else n
         while i < n:
-            if n - i <= self.longest and (t := get(s[i:] + self.suffix)) is not None:
+            if n - i <= self.longest and (t := get(s[i:] + suffix)) is not None:
                 out.append(t)
                 break
-            for j in range(min(n - (1 if self.suffix else 0), i + self.longest), i, -1):
-                if (t := get(s[i:j])) is not None:
+            j = i + reach.get(s[i : i + 3], 2)
+            if j > most:
+                j = most
+            while j > i:
+                t = get(s[i:j])
+                if t is not None:
                     out.append(t)
                     i = j
                     break
+                j -= 1
             else:
                 return []
         return out
