@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, texts
 
-DEPTH = 6
+DEPTH = 5
 GRAMS = 600_000
 HEAD = 262_144
 END = b"\n"
@@ -115,10 +115,10 @@ def _count(depth: int):
                 keys, counts = np.unique(windows(lines, depth), return_counts=True)
                 grams.append((keys, counts.astype(np.int64)))
                 held += len(keys)
-                if held > 3_000_000:
+                if held > 1_500_000:
                     grams[:] = [_sum(grams)]
                     held = len(grams[0][0])
-                if held > 2_500_000 or len(words) > 600_000:
+                if held > 1_000_000 or len(words) > 400_000:
                     yield flush()
         yield flush()
 
