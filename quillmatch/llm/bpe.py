@@ -10,8 +10,8 @@ failing pair are merged exactly.
 Texts are normalised and cut into words as the tokenizer's file says (NFC,
 white-space runs to a space, lower case; contractions, letter runs, single
 digits, other runs).  The strings of added tokens are matched in the raw text.
-Pieces between white space never influence one another, so their encodings are
-kept in a bounded cache of each worker.
+Words never influence one another, so their encodings are kept in a bounded
+cache of each worker.
 
 Null texts count as empty.  An empty text has no ids and decodes to the empty
 text.  Rows with a null id and repeated rows are encoded each.
@@ -19,6 +19,7 @@ text.  Rows with a null id and repeated rows are encoded each.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -38,15 +39,6 @@ CACHE = 400_000
 PAIRS = 1_000_000
 
 
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_WHITE = regex.compile(r"\p{White_Space}+")
-
-
-def between_spaces(text: str) -> list[str]:
-    """The pieces between white space; unlike str.split(), information separators are no white space."""
-    return text.split() if not _SEPARATORS.search(text) else [p for p in _WHITE.split(text) if p]
-
-
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 for itself, the others from 256 on."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -60,9 +52,6 @@ def byte_letters() -> list[str]:
     return out
 
 
-_MARKS = frozenset(".,;:!?")
-
-
 class TwoGenerations(dict):
     """A cache of at most twice ``size`` entries and those of the last call; what is in use outlives a change of generation."""
 
@@ -94,44 +83,55 @@ class SpeculativeBPE:
         self.tokens: dict[int, str] = {i: t for t, i in self.vocab.items()}
         self.added = {a["content"]: a["id"] for a in file["added_tokens"]}
         self.tokens.update({i: t for t, i in self.added.items()})
-        self.merges: dict[tuple[str, str], int] = {}
+        self.merges: dict[int, int] = {}  # two packed ids -> rank
+        self.merged: list[int] = []  # rank -> id
         for rank, m in enumerate(model["merges"]):
-            self.merges.setdefault(tuple(m) if isinstance(m, list) else tuple(m.split(" ")), rank)
+            a, b = m if isinstance(m, list) else m.split(" ")
+            self.merges.setdefault(self.vocab[a] << 32 | self.vocab[b], rank)
+            self.merged.append(self.vocab[a + b])
         self.sign = os.path.commonprefix(list(self.added))  # in every string of an added token
         self.added_at = regex.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         split = next(p["pattern"]["Regex"] for p in file["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words_of = regex.compile(split).findall
+        self.ascii_words = re.compile(split.replace("\\p{L}", "a-z").replace("\\p{N}", "0-9"), re.A).findall  # of lower-case ASCII texts
         self.letters = byte_letters()
+        self.single = [self.vocab[c] for c in self.letters]
+        self.final = [self.vocab[c + self.suffix] for c in self.letters] if self.suffix else self.single
         self.longest = max(map(len, self.vocab))
         self.reach: dict[str, int] = {}  # the longest token by its first three letters
         for t in self.vocab:
             self.reach[t[:3]] = max(len(t), self.reach.get(t[:3], 2))
         self.pair_ok: dict[int, bool] = {}
-        self.spelled: dict[int, tuple[str, ...]] = {}
+        self.spelled: dict[int, list[int]] = {}
         self.cache: TwoGenerations = TwoGenerations(CACHE)
-        self.word_cache: TwoGenerations = TwoGenerations(CACHE)
+        self.strings: TwoGenerations = TwoGenerations(CACHE)
         self.exact_merges = self.proposed = 0
 
-    def symbols(self, word: str) -> list[str]:
+    def symbols(self, word: str) -> list[int]:
         """A word's first symbols: one for each byte, the last with the mark of the word's end."""
-        s = [self.letters[b] for b in word.encode("utf-8")]
-        s[-1] += self.suffix
+        data = word.encode("utf-8")
+        s = list(map(self.single.__getitem__, data))
+        if self.suffix:
+            s[-1] = self.final[data[-1]]
         return s
 
-    def merge(self, symbols: list[str]) -> list[int]:
+    def merge(self, symbols: list[int]) -> list[int]:
         """Exact BPE: always the leftmost pair of the lowest rank."""
-        s, rank = list(symbols), self.merges.get
-        none = len(self.merges)
-        ranks = [rank(pair, none) for pair in zip(s, s[1:], strict=False)]
-        while ranks and (low := min(ranks)) < none:
+        s, rank, after = list(symbols), self.merges.get, self.merged
+        none = len(after)
+        ranks = [rank(a << 32 | b, none) for a, b in zip(s, s[1:], strict=False)]
+        while ranks:
+            low = min(ranks)
+            if low == none:
+                break
             i = ranks.index(low)
-            s[i : i + 2] = [s[i] + s[i + 1]]
+            s[i : i + 2] = [after[low]]
             del ranks[i]
             if i:
-                ranks[i - 1] = rank((s[i - 1], s[i]), none)
+                ranks[i - 1] = rank(s[i - 1] << 32 | s[i], none)
             if i < len(ranks):
-                ranks[i] = rank((s[i], s[i + 1]), none)
-        return [self.vocab[x] for x in s if x in self.vocab]
+                ranks[i] = rank(s[i] << 32 | s[i + 1], none)
+        return s
 
     def propose(self, word: str) -> list[int]:
         """The longest token at each place; the last one carries the mark of the word's end."""
@@ -156,13 +156,16 @@ class SpeculativeBPE:
                 return []
         return out
 
-    def spell(self, token: int) -> list[str]:
+    def spell(self, token: int) -> list[int]:
         """The first symbols of a token."""
-        t = self.tokens[token]
-        if self.suffix and t.endswith(self.suffix):
-            core = t[: -len(self.suffix)]
-            return [*core[:-1], core[-1:] + self.suffix]
-        return list(t)
+        if token not in self.spelled:
+            t = self.tokens[token]
+            core = t[: -len(self.suffix)] if self.suffix and t.endswith(self.suffix) else t
+            out = [self.vocab[c] for c in core]
+            if core != t:
+                out[-1] = self.vocab[core[-1] + self.suffix]
+            self.spelled[token] = out
+        return self.spelled[token]
 
     def compatible(self, pairs: np.ndarray) -> np.ndarray:
         """If each packed pair is the encoding of its own concatenation; new ones are merged once."""
@@ -177,6 +180,11 @@ class SpeculativeBPE:
         return np.fromiter(map(known.__getitem__, kinds.tolist()), bool, len(kinds))[back]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of distinct words."""
+        if self.added.keys() & set(words):
+            plain = [w for w in words if w not in self.added]
+            known = dict(zip(plain, self.encode_words(plain), strict=True))
+            return [[self.added[w]] if w in self.added else known[w] for w in words]
         out = [self.propose(w) for w in words]
         self.proposed += len(words)
         sizes = np.fromiter(map(len, out), np.int64, len(out))
@@ -193,38 +201,32 @@ class SpeculativeBPE:
             self.exact_merges += 1
         return out
 
-    def words(self, text: str) -> list[str]:
+    def _plain(self, text: str) -> list[str]:
         """The words of a text without added tokens."""
         if text.isascii():
-            if text.isalpha():
-                return [text.lower()]
-            if text[-1:] in _MARKS and text[:-1].isalpha():
-                return [text[:-1].lower(), text[-1]]
-            return self.words_of(text.lower())
-        return self.words_of("".join([c.lower() for c in unicodedata.normalize("NFC", text)]))
-
-    def _segments(self, piece: str) -> list[str | int]:
-        """Words, and ids of added tokens."""
-        if self.sign not in piece or self.added_at is None:
-            return self.words(piece)
-        out: list[str | int] = []
+            return self.ascii_words(text.lower())
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        # the file lowers character by character: no sigma is final
+        return self.words_of(text.lower() if "Σ" not in text else "".join([c.lower() for c in text]))
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text, and the strings of added tokens, which no word equals."""
+        if self.sign not in text or self.added_at is None:
+            return self._plain(text)
+        out: list[str] = []
         at = 0
-        for m in self.added_at.finditer(piece):
-            out += self.words(piece[at : m.start()])
-            out.append(self.added[m[0]])
+        for m in self.added_at.finditer(text):
+            out += self._plain(text[at : m.start()])
+            out.append(m[0])
             at = m.end()
-        return out + self.words(piece[at:])
-
-    def pieces(self, pieces: Iterable[str]) -> list[list[int]]:
-        """Ids of pieces between white space."""
-        parts = [self._segments(p) for p in pieces]
-        known = self.word_cache
-        known.prepare({w for p in parts for w in p if isinstance(w, str)}, self.encode_words)
-        return [[i for w in p for i in (known[w] if isinstance(w, str) else (w,))] for p in parts]
+        return out + self._plain(text[at:])
 
     def encode(self, text: str) -> list[int]:
         """A text's ids as a list."""
-        return [i for p in self.pieces(between_spaces(text)) for i in p]
+        words = self.words(text)
+        self.cache.prepare(set(words), self.encode_words)
+        return [i for w in words for i in self.cache[w]]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens joined by one space: the file names no decoder."""
@@ -232,12 +234,12 @@ class SpeculativeBPE:
 
     def rendered(self, data: list[str]) -> list[tuple[int, str, str]]:
         """Of each text: the number of ids, the ids and the tokens, each joined by one space."""
-        split = [between_spaces(t) for t in data]
+        split = [self.words(t) for t in data]
         distinct: set[str] = set()
         for s in split:
             distinct.update(s)
-        self.cache.prepare(distinct, lambda new: [(" ".join(map(str, ids)), self.decode(ids)) for ids in self.pieces(new)])
-        get, out = self.cache.__getitem__, []
+        self.strings.prepare(distinct, lambda new: [(" ".join(map(str, ids)), self.decode(ids)) for ids in self.encode_words(new)])
+        get, out = self.strings.__getitem__, []
         for s in split:
             if not s:
                 out.append((0, "", ""))
@@ -283,9 +285,13 @@ def digests(docs: DataFrame, text_col: str = "text", tokenizer: str | None = Non
         def work(batch: pa.RecordBatch) -> list:
             data = texts(batch.column(0))
             rows = []
-            for lo, hi in by_bytes(data):
-                for n, ids, back in own.rendered([x.decode("utf-8", "replace") for x in data[lo:hi]]):
-                    rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+            gc.disable()  # the caches are large and hold no cycles
+            try:
+                for lo, hi in by_bytes(data):
+                    for n, ids, back in own.rendered([x.decode("utf-8", "replace") for x in data[lo:hi]]):
+                        rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+            finally:
+                gc.enable()
             return [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))]
 
         return work
