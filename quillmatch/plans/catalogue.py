@@ -1,6 +1,377 @@
-"""The registered queries and their DuckDB SQL."""
+"""The registered queries over the driver's tables, and their DuckDB SQL.
+
+All queries of one folder share the normalised records and the index, which
+are lazy DataFrames; Catalyst sees each query as one plan.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+import os
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import DecisionConfig, RetrievalConfig, SamplingConfig, TrainConfig
+from ..functions import features, ids, text
+from ..operators import audit, evaluation, output, retrieval, training
+from ..sources import documents, generate
+from . import oracle
+
+Query = Callable[[SparkSession, str], DataFrame]
+ALL = RetrievalConfig(address=True)
+CAP = ALL.max_candidates
+THRESHOLDS = [0.2, 0.4, 0.6, 0.8]
+
+
+class Setting:
+    """The lazy tables that queries start from."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.records = documents.records(spark, sf_dir)
+        self.normalized = text.normalize(self.records)
+        self.queries = self.normalized.filter(F.col("entity_id").startswith("S1-"))
+        self.corpus = self.normalized.filter(~F.col("entity_id").startswith("S1-"))
+
+    @property
+    def index(self) -> retrieval.Index:
+        return retrieval.build(self.corpus)
+
+    @property
+    def links(self) -> DataFrame:
+        return documents.link_pairs(self.spark, self.sf_dir)
+
+    @property
+    def spine(self) -> DataFrame:
+        return self.queries.select(F.col("entity_id").alias("s1"), "row_ord")
+
+    def candidates(self, config: RetrievalConfig = ALL) -> DataFrame:
+        return retrieval.candidates(self.queries, self.index, config)
+
+    def lists(self, pairs: DataFrame) -> DataFrame:
+        return retrieval.groups(self.queries, pairs)
+
+    @property
+    def truth(self) -> DataFrame:
+        listed = self.links.groupBy("s1").agg(F.array_sort(F.collect_list("cand")).alias("ids"))
+        return self.spine.join(listed, "s1", "left").select("s1", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+
+    @property
+    def scored(self) -> DataFrame:
+        """Candidates with the Jaccard similarity of the name tokens as their score."""
+        pairs = retrieval.with_records(self.candidates().select("s1", "cand", "rank"), self.queries, self.corpus)
+        return pairs.select("s1", "cand", "rank", features.jaccard(F.col("q_name_tokens"), F.col("c_name_tokens")).alias("score"))
+
+    @property
+    def decided(self) -> DataFrame:
+        return training.decide(self.queries, self.scored, DecisionConfig(0.6))
+
+    @property
+    def countries(self) -> DataFrame:
+        return self.records.select(F.col("entity_id").alias("s1"), "country")
+
+
+def _joined(df: DataFrame, *columns: str) -> DataFrame:
+    """Arrays as comma-joined texts."""
+    return df.withColumns({c: F.array_join(c, ",") for c in columns})
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t in ("double", "float")})
+
+
+QUERIES: dict[str, Query] = {}
+
+
+def _query(function: Callable[[Setting], DataFrame]) -> Callable[[Setting], DataFrame]:
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(Setting(spark, sf_dir))
+    return function
+
+
+@_query
+def normalize_records(s: Setting) -> DataFrame:
+    return s.normalized.select("entity_id", "name_norm", "address_norm", "country_key")
+
+
+@_query
+def country_keys(s: Setting) -> DataFrame:
+    return s.normalized.groupBy("country_key").agg(F.count("*").alias("records"))
+
+
+@_query
+def tokens(s: Setting) -> DataFrame:
+    return s.normalized.select("entity_id", F.posexplode("name_tokens").alias("pos", "token")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@_query
+def normalize_texts(s: Setting) -> DataFrame:
+    """Whole pages, conversations and benchmark items."""
+    read = lambda n: s.spark.read.parquet(f"{s.sf_dir}/{n}.parquet")
+    rows = read("pages").select(F.concat(F.lit("p"), "page_id").alias("key"), F.col("html").alias("t"))
+    rows = rows.unionByName(read("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("key"), F.col("text").alias("t")))
+    rows = rows.unionByName(read("benchmark").select(F.concat(F.lit("b"), "item_id").alias("key"), F.col("text").alias("t")))
+    return rows.select("key", text.text_key(F.col("t")).alias("norm"))
+
+
+@_query
+def split_assignment(s: Setting) -> DataFrame:
+    key = F.col("entity_id")
+    return s.queries.select("entity_id", ids.split_residue(key).cast("long").alias("residue"), ids.is_validation(key).alias("validation"))
+
+
+@_query
+def split_counts(s: Setting) -> DataFrame:
+    return split_assignment(s).groupBy("validation").agg(F.count("*").alias("records"))
+
+
+@_query
+def id_validation(s: Setting) -> DataFrame:
+    """Every id, and forms of it that are not valid."""
+    forms = F.explode(F.array("entity_id", F.concat(F.lit("x"), "entity_id"), F.substring("entity_id", 1, 3), F.concat(F.lit("S4-"), "entity_id")))
+    return s.records.select(forms.alias("id")).select("id", ids.is_id(F.col("id")).alias("valid"), ids.is_id(F.col("id"), "23").alias("candidate")).groupBy("valid", "candidate").agg(F.count("*").alias("ids"))
+
+
+@_query
+def postings_exact(s: Setting) -> DataFrame:
+    return s.index.exact
+
+
+@_query
+def postings_name_token(s: Setting) -> DataFrame:
+    return s.index.name_token
+
+
+@_query
+def postings_address_token(s: Setting) -> DataFrame:
+    return s.index.address_token
+
+
+@_query
+def country_entities(s: Setting) -> DataFrame:
+    return s.index.country
+
+
+@_query
+def token_doc_freq(s: Setting) -> DataFrame:
+    return s.index.frequency
+
+
+@_query
+def countries(s: Setting) -> DataFrame:
+    return s.index.countries()
+
+
+@_query
+def record_lookup(s: Setting) -> DataFrame:
+    wanted = s.links.select(F.col("cand").alias("entity_id")).distinct()
+    return s.index.lookup(wanted).select("entity_id", "name_norm", "country_key")
+
+
+def _route(name: str) -> None:
+    def run(s: Setting) -> DataFrame:
+        return _rounded(retrieval.ROUTES[name](s.queries, s.index, ALL).select("s1", "cand", "score"))
+
+    run.__name__ = f"route_{name}"
+    _query(run)
+
+
+for _name in retrieval.ROUTES:
+    _route(_name)
+
+
+@_query
+def candidate_pairs_ranked(s: Setting) -> DataFrame:
+    pairs = _joined(s.candidates(), "routes")
+    return _rounded(pairs.select("s1", "cand", "rank", "n_routes", "routes", "total"))
+
+
+@_query
+def candidate_groups(s: Setting) -> DataFrame:
+    return _joined(s.lists(s.candidates()), "ids").select("s1", F.col("ids").alias("candidates"))
+
+
+@_query
+def route_contribution(s: Setting) -> DataFrame:
+    return retrieval.route_contribution(s.candidates())
+
+
+@_query
+def retrieval_stats(s: Setting) -> DataFrame:
+    return retrieval.statistics(s.queries, retrieval.hits(s.queries, s.index, ALL), CAP)
+
+
+@_query
+def cap_sweep(s: Setting) -> DataFrame:
+    """Pairs and recalled links under caps of 16, 32 and 64: one ranking, counted at each cap."""
+    ranked = retrieval.ranked(retrieval.union(retrieval.hits(s.queries, s.index, ALL)), 64)
+    marked = ranked.select("s1", "cand", "rank").join(s.links.withColumn("hit", F.lit(1)), ["s1", "cand"], "left")
+    caps = F.explode(F.array(*[F.lit(c).cast("long") for c in (16, 32, 64)])).alias("cap")
+    rows = marked.select("rank", "hit", caps).filter(F.col("rank") <= F.col("cap"))
+    return rows.groupBy("cap").agg(F.count("*").alias("pairs"), F.count("hit").alias("edges_recalled"))
+
+
+def _pairs(s: Setting) -> DataFrame:
+    return retrieval.with_records(s.candidates().select("s1", "cand", "rank", "n_routes"), s.queries, s.corpus)
+
+
+@_query
+def features_native(s: Setting) -> DataFrame:
+    names = [n for n in features.NAMES if n not in features.CHAR_RATIOS]
+    return _rounded(features.native(_pairs(s)).select("s1", "cand", *names))
+
+
+@_query
+def features_char_ratio(s: Setting) -> DataFrame:
+    return _rounded(training.featurize(_pairs(s)).select("s1", "cand", *features.CHAR_RATIOS))
+
+
+@_query
+def rule_score(s: Setting) -> DataFrame:
+    return training.featurize(_pairs(s)).select("s1", "cand", F.round(features.rule_score(), 6).alias("score"))
+
+
+@_query
+def training_pairs_hash(s: Setting) -> DataFrame:
+    return training.training_pairs(s.candidates(), s.links).select("s1", "cand", F.col("label").cast("long").alias("label"))
+
+
+@_query
+def pair_counts(s: Setting) -> DataFrame:
+    pairs = s.candidates()
+    return training.pair_counts(s.queries, pairs, s.links, training.training_pairs(pairs, s.links, SamplingConfig()))
+
+
+@_query
+def model_scores(s: Setting) -> DataFrame:
+    """A small boosted-tree model, trained, saved, loaded and applied to all candidates."""
+    rows = training.featurize(_pairs(s))
+    chosen = training.training_pairs(s.candidates(), s.links).select("s1", "cand", "label")
+    base = s.spark.conf.get("spark.checkpoint.dir", None)
+    folder = f"{base.removeprefix('file://')}/model-{id(s)}" if base and base.startswith(("file:", "/")) else tempfile.mkdtemp(prefix="model-")
+    os.makedirs(folder, exist_ok=True)
+    training.train(rows.join(chosen, ["s1", "cand"]), folder, TrainConfig(rounds=5))
+    return training.score(rows, training.load(f"{folder}/model.json")).select("s1", "cand", F.round("score", 6).alias("score"))
+
+
+@_query
+def decisions(s: Setting) -> DataFrame:
+    return _joined(s.decided, "ids").select("s1", F.col("ids").alias("matched"))
+
+
+@_query
+def threshold_sweep(s: Setting) -> DataFrame:
+    return _rounded(training.threshold_sweep(s.queries, s.scored, s.links, THRESHOLDS))
+
+
+def _counted(s: Setting) -> DataFrame:
+    return evaluation.counts(s.truth, s.decided)
+
+
+@_query
+def eval_per_entity(s: Setting) -> DataFrame:
+    rows = evaluation.per_query(_counted(s))
+    return _rounded(rows.select("s1", "f_half", "precision", "recall"))
+
+
+@_query
+def eval_macro(s: Setting) -> DataFrame:
+    return _rounded(evaluation.macro(_counted(s)))
+
+
+@_query
+def eval_by_country(s: Setting) -> DataFrame:
+    return _rounded(evaluation.by_country(_counted(s), s.countries))
+
+
+@_query
+def candidate_eval(s: Setting) -> DataFrame:
+    return _rounded(evaluation.candidate_measures(s.truth, s.lists(s.candidates())))
+
+
+@_query
+def candidate_distribution(s: Setting) -> DataFrame:
+    return _rounded(evaluation.distribution(s.lists(s.candidates())))
+
+
+@_query
+def reduction_ratios(s: Setting) -> DataFrame:
+    return _rounded(evaluation.reduction(s.lists(s.candidates()), s.index.total), 9)
+
+
+@_query
+def oracle_check(s: Setting) -> DataFrame:
+    model = evaluation.macro(_counted(s)).select(F.round("macro_f_half", 6).alias("model"))
+    best = evaluation.candidate_measures(s.truth, s.lists(s.candidates())).select(F.round("oracle_macro_f_half", 6).alias("oracle"))
+    return model.join(best).select("model", "oracle", (F.col("model") <= F.col("oracle") + 1e-9).alias("holds"))
+
+
+def _errors(s: Setting) -> DataFrame:
+    return evaluation.errors(s.truth, s.decided, s.lists(s.candidates()))
+
+
+@_query
+def error_counts(s: Setting) -> DataFrame:
+    return evaluation.error_counts(_errors(s))
+
+
+@_query
+def error_examples(s: Setting) -> DataFrame:
+    return evaluation.error_examples(_errors(s), 10)
+
+
+@_query
+def matching_results(s: Setting) -> DataFrame:
+    return s.decided.select("row_ord", F.concat_ws("\t", "s1", F.array_join("ids", ",")).alias("line"))
+
+
+@_query
+def candidate_file(s: Setting) -> DataFrame:
+    return s.lists(s.candidates()).select("row_ord", F.concat_ws("\t", "s1", F.array_join(F.array_sort("ids"), ",")).alias("line"))
+
+
+@_query
+def validate_findings(s: Setting) -> DataFrame:
+    """Findings about candidate lists as matches, with faults put in: lost rows, repeated and unknown ids."""
+    lists = s.lists(s.candidates()).select("s1", F.array_sort("ids").alias("ids"), "row_ord")
+    bad = F.when(F.col("row_ord") % 5 == 0, F.concat("ids", F.array(F.lit("S2-none")))).when(F.col("row_ord") % 7 == 0, F.concat("ids", F.array(F.lit("X-1"), F.lit("X-1")))).otherwise(F.col("ids"))
+    faulty = lists.filter(F.col("row_ord") % 11 != 0).select("s1", bad.alias("ids"))
+    found = output.table_findings(s.spine, faulty, lists.select("s1", "ids"), s.corpus)
+    return found.groupBy("problem_type").agg(F.count("*").alias("findings"), F.min("s1_id").alias("first_s1"))
+
+
+@_query
+def coverage_check(s: Setting) -> DataFrame:
+    shown = s.decided.filter(F.size("ids") > 0).select("s1")
+    return evaluation.coverage(s.spine, shown, s.countries.join(s.spine.select("s1"), "s1"), "fr")
+
+
+@_query
+def data_audit(s: Setting) -> DataFrame:
+    return audit.sources(s.records)
+
+
+@_query
+def match_length_histogram(s: Setting) -> DataFrame:
+    return audit.list_lengths(s.truth)
+
+
+@_query
+def benchmark_sample(s: Setting) -> DataFrame:
+    """The sampling operator: 20 S1 records, their links and distractors up to 40 records."""
+    truth = s.truth.select(F.col("s1").alias("source1_entity_id"), F.col("ids").alias("matched_entity_ids"))
+    corpus = s.records.filter(~F.col("entity_id").startswith("S1-"))
+    made = generate.representative_sample(s.records.filter(F.col("entity_id").startswith("S1-")), corpus, truth, 20, 40)
+    return made["source1"].unionByName(made["source2"]).unionByName(made["source3"]).select("entity_id")
+
+
+@_query
+def scale_data(s: Setting) -> DataFrame:
+    made = generate.scale_data(s.spark, 1000)
+    rows = made["source1"].unionByName(made["source2"]).unionByName(made["source3"]).select("entity_id", "business_name", "business_address")
+    links = made["truth"].select(F.col("source1_entity_id").alias("s1"), F.size("matched_entity_ids").cast("long").alias("links"))
+    return rows.join(links, rows.entity_id == links.s1, "left").select("entity_id", "business_name", "business_address", F.coalesce("links", F.lit(-1).cast("long")).alias("links"))
+
+
+ORACLE_SQL: dict[str, str] = oracle.sql(ALL, THRESHOLDS, SamplingConfig())
