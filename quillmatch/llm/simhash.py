@@ -271,9 +271,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Repeated rows of that id count as copies too: one of them stays.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    order = [c for c in docs.columns if c != id_col]
-    named = scratch.save(near_duplicates(docs.withColumn("__row", F.monotonically_increasing_id()), id_col, text_col, words, radius), "named")
+    rows = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = near_duplicates(rows.select("__row", F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__id", "__text", words, radius, keep=["__row", "__id"])
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    named = named.withColumn("__group", group)
-    chosen = named.groupBy("__group").agg(F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("__row").alias("r"))).alias("s"))
-    return named.join(chosen.select(F.col("s.r").alias("__row")), "__row", "left_semi").select(id_col, *order).select(*docs.columns)
+    chosen = named.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__row").alias("r"))).alias("s"))
+    return rows.join(chosen.select(F.col("s.r").alias("__row")), "__row", "left_semi").select(*docs.columns)
