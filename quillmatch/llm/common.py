@@ -70,6 +70,15 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
 #: Kernels get slices of Arrow batches of about so many bytes, so that what they hold beside the batch stays small.
 SLICE_BYTES = 4_000_000
 
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices that are not empty."""
+    for whole in batches:
+        rows = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+
+
 Kernel = Callable[[pa.RecordBatch], list]
 
 
@@ -94,13 +103,10 @@ def append_columns(df: DataFrame, kernel: Callable[[], Kernel], inputs: list[Col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = kernel()
-        for whole in batches:
-            rows = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.nbytes))
-            for at in range(0, whole.num_rows, rows):
-                batch = whole.slice(at, rows)
-                new = work(batch)
-                columns = [*batch.columns[n:], *new]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) and c.type != f.type else pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+        for batch in slices(batches):
+            new = work(batch)
+            columns = [*batch.columns[n:], *new]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) and c.type != f.type else pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return source.mapInArrow(run, schema)
 

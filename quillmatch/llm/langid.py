@@ -34,7 +34,7 @@ from .common import append_columns, as_bytes, texts, tokenizer_path
 WORD = re.compile(r"[^\W\d_]+")
 MAX_RUN = 32
 MAX_PIECE = 8
-CACHE = 300_000
+CACHE = 200_000
 OTHER = -18.0
 START = "▁"
 

@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, texts, tokenizer_path
-from .encoding import by_bytes, encoder
+from .common import as_bytes, slices, texts, tokenizer_path
+from .encoding import encoder
 
 Piece = tuple[object, int, bytes, int]
 """Document's id, first token, ids, the document's tokens."""
@@ -144,17 +144,15 @@ def pack(
             rows.clear()
             return out
 
-        for batch in batches:
-            data, names = texts(batch.column(1)), batch.column(0).to_pylist()
-            for lo, hi in by_bytes(data):
-                for doc, text in zip(names[lo:hi], data[lo:hi], strict=True):
-                    ids = coder.encode(text.decode("utf-8", "replace")) + end
-                    total, whole = len(ids) // 4, len(ids) // (4 * window) * window
-                    for start in range(0, whole, window):
-                        close([(doc, start, ids[4 * start : 4 * (start + window)], total)])
-                    if whole < total and (full := packer.place((doc, whole, ids[4 * whole :], total))):
-                        close(full)
-                yield drain()
+        for batch in slices(batches):
+            for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+                ids = coder.encode(text.decode("utf-8", "replace")) + end
+                total, whole = len(ids) // 4, len(ids) // (4 * window) * window
+                for start in range(0, whole, window):
+                    close([(doc, start, ids[4 * start : 4 * (start + window)], total)])
+                if whole < total and (full := packer.place((doc, whole, ids[4 * whole :], total))):
+                    close(full)
+            yield drain()
         for held in packer.finish(split_last):
             close(held)
         yield drain()
