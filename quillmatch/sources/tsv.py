@@ -54,7 +54,7 @@ def read_links_lenient(spark: SparkSession, path: str) -> DataFrame:
     """Any two-column file of ids: no check of the header's names, ids trimmed, empty ones dropped, repeats once."""
     lines = _numbered(spark, path).filter("line > 1").filter(F.trim("value") != "")
     parts = F.split("value", "\t", 2)
-    listed = F.filter(F.transform(F.split(F.coalesce(F.get(parts, 1), F.lit("")), ","), F.trim), lambda x: x != "")
+    listed = F.filter(F.transform(F.split(F.coalesce(F.get(parts, 1), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     return lines.select(F.trim(parts[0]).alias("source1_entity_id"), F.array_distinct(listed).alias("matched_entity_ids")).filter("source1_entity_id <> ''")
 
 
@@ -77,7 +77,7 @@ def read_output_strict(spark: SparkSession, path: str) -> tuple[list[str], DataF
     header = [h.strip().lower() for h in head["value"].split("\t")] if head else []
     body = lines.filter("line > 1").withColumn("p", F.split("value", "\t"))
     good = (F.size("p") == 2) & (F.trim(F.col("p")[0]) != "")
-    listed = F.when(F.trim(F.col("p")[1]) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(F.col("p")[1], ","), F.trim))
+    listed = F.when(F.trim(F.col("p")[1]) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(F.col("p")[1], ","), lambda x: F.trim(x)))
     rows = body.filter(good).select("line", F.trim(F.col("p")[0]).alias("s1"), listed.alias("ids"))
     return header, rows, body.filter(~good & (F.trim("value") != "")).select("line", "value")
 
