@@ -402,7 +402,9 @@ def score(
     tree, words = learn(source.filter("not held_out").select("text"), scratch, depth, grams)
     n_total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
-    at_head = (top.column(0).to_pylist(), top.column(1).to_numpy())
+    ends = words.filter(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)) | ({b"": ends} if ends else {})
+    at_head = (list(counts), np.fromiter(counts.values(), np.int64, len(counts)))
     context = spark.sparkContext
     kind = source.schema["id"].dataType.simpleString()
     ddl = f"rid long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, tail array<struct<word: binary, k: long>>"
