@@ -200,7 +200,7 @@ def near_duplicates(
     picked = nodes.select("vector", "nid").orderBy(F.xxhash64("nid"), "nid").limit(sample).collect()
     sizes = [len(r["vector"]) for r in picked]
     usual = max(set(sizes), key=sizes.count, default=0)
-    points = np.array([r["vector"] for r in picked if len(r["vector"]) == usual], np.float64).reshape(-1, usual)
+    points = np.array([r["vector"] for r in picked if len(r["vector"]) == usual], np.float64)
     centroids = spherical_kmeans(unit(points), cells) if len(points) else np.zeros((0, 0))
     radius = np.zeros(max(1, len(centroids)))
     for r in nodes.select("vector").mapInArrow(_radii(centroids), "cell long, radius double").groupBy("cell").agg(F.max("radius")).collect():
