@@ -35,13 +35,13 @@ def spanning_edges(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> list[tupl
         label[np.isin(label, merged)] = merged.min()
 
 
-#: A node is a hub if it has over 1/HUB_SHARE of all edge ends, so there are fewer than 2 * HUB_SHARE hubs.
+#: A node is a hub if it has over 100 and over 1/HUB_SHARE of all edge ends, so there are fewer than HUB_SHARE hubs.
 HUB_SHARE = 1000
 
 
 def _with_minimum(edges: DataFrame, minima: DataFrame, ends: int) -> DataFrame:
     """edges(u, v) with the m of each u; the rows of hubs meet theirs by a bounded broadcast, all others by a shuffle."""
-    hubs = minima.filter(F.col("d") > max(1000, ends // HUB_SHARE)).select("u", F.col("m").alias("hub_m"))
+    hubs = minima.filter(F.col("d") > max(100, ends // HUB_SHARE)).select("u", F.col("m").alias("hub_m"))
     marked = edges.join(F.broadcast(hubs), "u", "left")
     rest = marked.filter("hub_m is null").select("u", "v").join(minima.select("u", "m"), "u")
     return marked.filter("hub_m is not null").select("u", "v", F.col("hub_m").alias("m")).unionByName(rest)

@@ -294,6 +294,57 @@ def test_simhash_join_is_exact(spark, radius, cell_rows):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want))
 
 
+def _wide_brute(texts, words, width, radius):
+    fps = simhash.fingerprint_array([t.encode() for t in texts], words, width).view(np.uint64)
+    up = list(range(len(fps)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]).sum(1) <= radius):
+            a, b = find(i), find(int(j))
+            up[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+def _edited(rng, words, share):
+    """Words of which so many of the five-word shingles are changed."""
+    out = list(words)
+    for i in range(0, round(len(words) * share / 5)):
+        out[rng.randrange(len(out))] = f"new{i}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("cell_rows", [7, 4096])
+def test_near_copies_are_found_and_others_stay(spark, cell_rows):
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(300)] for _ in range(60)]
+    texts = [" ".join(b) for b in base]
+    groups = list(range(60))
+    for g in range(20):
+        for _ in range(3):
+            texts.append(_edited(rng, base[g], 0.08))
+            groups.append(g)
+    far = [_edited(rng, base[g], 0.9) for g in range(40, 50)]
+    rows = [(i, t) for i, t in enumerate(texts + far)]
+    kept = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cell_rows=cell_rows).collect()}
+    assert kept == {*range(60), *range(120, 130)}
+    radius = simhash.wide_radius(0.8, 8)
+    first = _wide_brute(texts + far, 5, 8, radius)
+    assert {i for i in range(130) if first[i] == i} == kept
+
+
+def test_wide_words_are_independent():
+    fp = simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3, 8)
+    assert (fp[:, 0] == simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3)[:, 0]).all()
+    bits = np.unpackbits(fp.view(np.uint8), axis=1).astype(float)
+    correlation = np.nan_to_num(np.corrcoef(bits[:, bits.std(0) > 0].T))
+    assert np.abs(correlation - np.diag(np.diag(correlation))).max() < 0.5
+
+
 def test_embedding_bounds_the_distance():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 1 << 63, 2000).astype(np.uint64), rng.integers(0, 1 << 63, 2000).astype(np.uint64)

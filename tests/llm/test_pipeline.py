@@ -41,7 +41,7 @@ def test_quality_stage_follows_labels(spark, stages):
 
 def test_near_copies_stage_against_all_pairs(stages):
     rows = stages[2].select("doc_id", "text").collect()
-    fps = simhash.fingerprint_array([(r["text"] or "").encode() for r in rows], 5).view(np.uint64)
+    fps = simhash.fingerprint_array([(r["text"] or "").encode() for r in rows], 5, 8).view(np.uint64)
     up = list(range(len(rows)))
 
     def find(i):
@@ -50,13 +50,15 @@ def test_near_copies_stage_against_all_pairs(stages):
         return i
 
     for i in range(len(rows)):
-        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 8):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]).sum(1) <= simhash.wide_radius(0.8, 8)):
             a, b = find(i), find(int(j))
             up[max(a, b)] = min(a, b)
     first = {}
     for i, r in enumerate(rows):
         first[find(i)] = min(first.get(find(i), r["doc_id"]), r["doc_id"])
-    assert {r["doc_id"] for r in stages[3].select("doc_id").collect()} == set(first.values())
+    kept = {r["doc_id"] for r in stages[3].select("doc_id").collect()}
+    # the grids miss a pair just at the threshold with a chance of 8 %
+    assert set(first.values()) <= kept and len(kept) <= 1.02 * len(first)
 
 
 def test_packing_stage_keeps_all_documents(stages):
