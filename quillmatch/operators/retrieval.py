@@ -29,10 +29,15 @@ class Index:
     address_token: DataFrame  # token, entity_id
     country: DataFrame  # country_key, entity_id
     frequency: DataFrame  # token, df
-    total: int
+    total: int | None  # counted when it is first needed
 
     TABLES = ("records", "exact", "name_token", "address_token", "country", "frequency")
 
+    def size(self) -> int:
+        if self.total is None:
+            self.total = self.records.count()
+        return self.total
+
     def countries(self) -> DataFrame:
         return self.country.select("country_key").distinct().orderBy("country_key")
 
@@ -56,7 +61,7 @@ def build(normalized: DataFrame) -> Index:
         address_token=postings("address_tokens"),
         country=normalized.filter("country_key <> ''").select("country_key", "entity_id"),
         frequency=names.groupBy("token").agg(F.count("*").alias("df")),
-        total=normalized.count(),
+        total=None,
     )
 
 
@@ -79,7 +84,7 @@ def exact_name(queries: DataFrame, index: Index, config: RetrievalConfig) -> Dat
 
 def rare_tokens(index: Index, config: RetrievalConfig) -> DataFrame:
     """token, df of those below the frequency bound; usable: not skipped for an oversized block."""
-    most = max(10, int(index.total * config.df_ratio))
+    most = max(10, int(index.size() * config.df_ratio))
     kept = (F.length("token") >= config.min_token) & ~F.col("token").isin(*STOPWORDS) & (F.col("df") <= most)
     return index.frequency.filter(kept).withColumn("usable", F.col("df") <= config.max_block)
 
@@ -112,7 +117,7 @@ def combined(queries: DataFrame, index: Index, config: RetrievalConfig) -> DataF
 
 def fuzzy_name(queries: DataFrame, index: Index, config: RetrievalConfig, least: float = 0.5) -> DataFrame:
     """Jaccard similarity of the names' character trigrams, found through the rare ones, at least ``least``."""
-    most = min(config.max_block, max(10, int(index.total * config.df_ratio)))
+    most = min(config.max_block, max(10, int(index.size() * config.df_ratio)))
     grams = index.records.select(F.col("entity_id").alias("cand"), trigrams(F.col("name_norm")).alias("cg"))
     posted = grams.select("cand", F.size("cg").alias("cn"), F.explode("cg").alias("gram"))
     rare = posted.groupBy("gram").count().filter(F.col("count") <= most).select("gram")

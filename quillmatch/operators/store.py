@@ -70,7 +70,7 @@ def write(records: DataFrame, folder: str, paths: dict[str, str], config: Retrie
         getattr(index, name).write.parquet(f"{where}/{name}")
     rows = {name: spark.read.parquet(f"{where}/{name}").count() for name in Index.TABLES}
     known = {k: {"path": p, "size": _size(p), "sha256": fingerprint(p)} for k, p in paths.items()}
-    manifest = Manifest(where, known, split, config.to_dict(), index.total, rows)
+    manifest = Manifest(where, known, split, config.to_dict(), index.size(), rows)
     target = Path(folder) / "manifest.json"
     part = target.with_suffix(".part")
     part.write_text(json.dumps(asdict(manifest), indent=1, sort_keys=True), encoding="utf-8")

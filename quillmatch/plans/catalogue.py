@@ -1,7 +1,8 @@
 """The registered queries over the driver's tables, and their DuckDB SQL.
 
-All queries of one folder share the normalised records and the index, which
-are lazy DataFrames; Catalyst sees each query as one plan.
+A query whose plan has several branches over the documents persists what it
+takes from the whole texts; one with a single branch stays lazy to the end, so
+that only the columns it needs are read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import os
 import tempfile
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +30,12 @@ THRESHOLDS = [0.2, 0.4, 0.6, 0.8]
 class Setting:
     """The lazy tables that queries start from."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, branches: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
-        self.records = documents.records(spark, sf_dir)
-        self.normalized = text.normalize(self.records)
+        shared = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if branches else lambda df: df
+        self.ends = shared(documents.ends(spark, sf_dir))
+        self.records = documents.records(self.ends)
+        self.normalized = shared(text.normalize(self.records))
         self.queries = self.normalized.filter(F.col("entity_id").startswith("S1-"))
         self.corpus = self.normalized.filter(~F.col("entity_id").startswith("S1-"))
 
@@ -41,7 +45,7 @@ class Setting:
 
     @property
     def links(self) -> DataFrame:
-        return documents.link_pairs(self.spark, self.sf_dir)
+        return documents.link_pairs(self.ends)
 
     @property
     def spine(self) -> DataFrame:
@@ -83,10 +87,15 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {}
+ONE_BRANCH = {
+    "normalize_records", "country_keys", "tokens", "normalize_texts", "split_assignment", "split_counts", "id_validation", "postings_exact", "postings_name_token",
+    "postings_address_token", "country_entities", "token_doc_freq", "countries", "data_audit", "scale_data",
+}
 
 
 def _query(function: Callable[[Setting], DataFrame]) -> Callable[[Setting], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, sf_dir: function(Setting(spark, sf_dir))
+    name = function.__name__
+    QUERIES[name] = lambda spark, sf_dir: function(Setting(spark, sf_dir, name not in ONE_BRANCH))
     return function
 
 
@@ -297,7 +306,7 @@ def candidate_distribution(s: Setting) -> DataFrame:
 
 @_query
 def reduction_ratios(s: Setting) -> DataFrame:
-    return _rounded(evaluation.reduction(s.lists(s.candidates()), s.index.total), 9)
+    return _rounded(evaluation.reduction(s.lists(s.candidates()), s.index.size()), 9)
 
 
 @_query

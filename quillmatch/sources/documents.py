@@ -15,7 +15,8 @@ from ..functions import text
 NAME_WORDS, ADDRESS_WORDS, LINK_WORDS = 6, 8, 8
 
 
-def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names, addresses and link keys of all documents; the one pass over whole texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     words = text.tokens(text.text_key(F.col("text")))
     source = (F.col("doc_id") % 3 + 1).cast("string")
@@ -27,14 +28,14 @@ def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ends(spark, sf_dir).select("entity_id", "business_name", "business_address", F.coalesce("lang", F.lit("")).alias("country"), F.col("doc_id").alias("row_ord"))
+def records(rows: DataFrame) -> DataFrame:
+    """The records of ends()."""
+    return rows.select("entity_id", "business_name", "business_address", F.coalesce("lang", F.lit("")).alias("country"), F.col("doc_id").alias("row_ord"))
 
 
-def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (s1, cand) that share a nonempty head or tail."""
-    ends = _ends(spark, sf_dir)
-    keys = ends.select("entity_id", F.explode(F.array(F.concat(F.lit("h"), "head"), F.concat(F.lit("t"), "tail"))).alias("key")).filter(F.length("key") > 1)
+def link_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (s1, cand) of ends() that share a nonempty head or tail."""
+    keys = rows.select("entity_id", F.explode(F.array(F.concat(F.lit("h"), "head"), F.concat(F.lit("t"), "tail"))).alias("key")).filter(F.length("key") > 1)
     left = keys.filter(F.col("entity_id").startswith("S1-")).withColumnRenamed("entity_id", "s1")
     right = keys.filter(~F.col("entity_id").startswith("S1-")).withColumnRenamed("entity_id", "cand")
     return left.join(right, "key").select("s1", "cand").distinct()
