@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -61,10 +62,14 @@ def read_links_lenient(spark: SparkSession, path: str) -> DataFrame:
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their numbers from 1, in file order; the byte order mark goes.
 
-    A whole file is one partition here, so numbers need no second pass; the files this reads are outputs for exchange.
+    A file is read in its blocks, in parallel.  Within a block ids rise with the lines; the lines before a block are a running sum
+    over one row for each block.
     """
-    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("t"))
-    return text.select(F.posexplode(F.split(F.regexp_replace("t", "\r?\n$", ""), "\r?\n")).alias("at", "value")).select((F.col("at") + 1).alias("line"), "value")
+    lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    blocks = lines.groupBy("block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    numbered = lines.join(blocks.withColumn("before", before), "block").select((F.col("before") + F.col("id") - F.col("first") + 1).alias("line"), "value")
+    return numbered.withColumn("value", F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")))
 
 
 def read_output_strict(spark: SparkSession, path: str) -> tuple[list[str], DataFrame, DataFrame]:

@@ -51,6 +51,18 @@ def test_strict_reader(spark, tmp_path):
     assert {r["s1"]: r["ids"] for r in tsv.last_rows(rows).collect()}["S1-1"] == ["S2-2"]
 
 
+def test_line_numbers_over_many_blocks(spark, tmp_path):
+    path = _write(tmp_path / "big.tsv", "".join(f"S1-{i}\tS2-{i}\n" for i in range(20_000)), "source1_entity_id\tmatched_entity_ids\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        _, rows, bad = tsv.read_output_strict(spark, path)
+        assert rows.rdd.getNumPartitions() > 1 and bad.count() == 0
+        assert {r["line"]: r["s1"] for r in rows.collect()} == {i + 2: f"S1-{i}" for i in range(20_000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_archive(tmp_path):
     import zipfile
 
