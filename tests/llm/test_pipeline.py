@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillmatch.llm import queries, simhash
@@ -90,3 +91,26 @@ def test_nothing_else_imports_the_subpackage():
                 tree = ast.parse(open(f"{folder}/{name}").read())
                 modules = [n.module or "" for n in ast.walk(tree) if isinstance(n, ast.ImportFrom)] + [a.name for n in ast.walk(tree) if isinstance(n, ast.Import) for a in n.names]
                 assert not any("llm" in m for m in modules)
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls in every column, repeats, a very long text, clashing names, and no rows at all."""
+    rows = [
+        (1, "the quick brown fox jumps over the lazy dog again", "en", "a", 9), (1, "the quick brown fox jumps over the lazy dog again", "en", "a", 9), (None, "le renard brun saute encore", "fr", None, None),
+        (2, None, None, None, None), (3, "", "en", "a", 0), (4, "12 34 !!", None, "b", 8), (5, "word " * 30_000, "en", "c", 150_000), (None, None, None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit("taken") for c in ("Score", "words", "fp", "label", "ids", "start", "component_id", "lang_pred")})
+    spark.createDataFrame([(1, 1, 0), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for table in (docs, docs.limit(0)):
+        out = table
+        for name, stage in corpus_pipeline.STAGES:
+            columns = out.columns
+            out = stage(spark, out, str(tmp_path))
+            if name != "packing":
+                assert out.columns == columns
+            out = spark.createDataFrame(out.collect(), out.schema)
+        if table is docs:
+            assert {r["doc_id"] for r in out.collect()} >= {1, 5}
+        else:
+            assert out.count() == 0
