@@ -17,8 +17,8 @@ remaining child of their parent, and the threshold is the smallest (on a scale
 of quarter octaves) that leaves at most ``grams`` pairs of context and byte.
 
 The base is a unigram model of words: log10((c + 0.5) / (N + 0.5 (V + 1))).  The
-``head`` most frequent words are broadcast; the counts of all others meet their
-words in a shuffle, so the sum is exact at any size of the vocabulary.
+most frequent words, at most ``head`` by a threshold on their counts, are
+broadcast; the counts of all others meet their words in a shuffle, so the sum is exact at any size of the vocabulary.
 
 Null texts count as empty: they have one token, the end.  Rows with a null id
 are learnt from.  Repeated rows count each.  With nothing to learn from, every
@@ -302,6 +302,16 @@ class _Table:
         return hit, self.values[slot]
 
 
+def _least(sizes: list, most: int) -> int:
+    """(level, rows) of every level -> the lowest level from which on there are at most so many rows."""
+    least, held = 1 << 30, 0
+    for level, n in sorted(map(tuple, sizes), reverse=True):
+        if held + n > most:
+            break
+        held, least = held + n, level
+    return least
+
+
 def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int = GRAMS) -> tuple[Tree, DataFrame]:
     """texts_df(text binary) -> the tree, and the table (word binary, n) of all words; the empty word is the end."""
     counted = texts_df.mapInArrow(_count(depth), "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n"))
@@ -313,14 +323,8 @@ def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int
     contexts = keyed.groupBy("d", F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"), F.collect_list(pair).alias("bytes"))
     contexts = scratch.save(contexts, "contexts")
     octave = F.floor(4 * F.log2("total"))
-    sizes = sorted(((r[0], r[1]) for r in contexts.groupBy(octave).agg(F.sum(F.size("bytes"))).collect()), reverse=True)
-    least, held = math.inf, 0
-    for o, n in sizes:
-        if held + n > grams:
-            break
-        held, least = held + n, o
-    kept = contexts.filter((octave >= least) if least < math.inf else F.lit(False)) if sizes else contexts
-    rows = kept.select("d", "context", F.inline("bytes")).toArrow()
+    least = _least(contexts.groupBy(octave).agg(F.sum(F.size("bytes"))).collect(), grams)
+    rows = contexts.filter(octave >= least).select("d", "context", F.inline("bytes")).toArrow()
     d, context, byte, n = (rows.column(i).to_numpy() for i in range(4))
     out = []
     for level in range(depth + 1):
@@ -401,10 +405,11 @@ def score(
     source = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"), held_out.alias("held_out"))
     tree, words = learn(source.filter("not held_out").select("text"), scratch, depth, grams)
     n_total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
+    eighth = F.floor(8 * F.log2("n"))
+    top = words.filter(eighth >= _least(words.groupBy(eighth).count().collect(), head)).toArrow()
     ends = words.filter(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts = dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True)) | ({b"": ends} if ends else {})
-    at_head = (list(counts), np.fromiter(counts.values(), np.int64, len(counts)))
+    names, counts = top.column(0).to_pylist(), top.column(1).to_numpy()
+    at_head = (names, counts) if not ends or b"" in names else ([*names, b""], np.append(counts, ends))
     context = spark.sparkContext
     kind = source.schema["id"].dataType.simpleString()
     ddl = f"rid long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, tail array<struct<word: binary, k: long>>"
