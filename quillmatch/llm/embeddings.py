@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, sample_by_hash
 from .components import components, spanning_edges
 
 CELLS = 16
@@ -197,7 +197,7 @@ def near_duplicates(
     nodes = base.filter("ok").groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     nodes = scratch.save(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
 
-    picked = nodes.select("vector", "nid").orderBy(F.xxhash64("nid"), "nid").limit(sample).collect()
+    picked = sample_by_hash(nodes.select("vector", "nid"), "nid", sample).collect()
     sizes = [len(r["vector"]) for r in picked]
     usual = max(set(sizes), key=sizes.count, default=0)
     points = np.array([r["vector"] for r in picked if len(r["vector"]) == usual], np.float64)

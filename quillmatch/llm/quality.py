@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, as_bytes, texts
+from .common import append_columns, as_bytes, sample_by_hash, texts
 
 NAMES = (
     "log_bytes", "log_words", "bytes_per_word", "upper", "lower", "digit", "space", "newline", "stop", "clause", "mark", "symbol",
@@ -105,7 +105,7 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, bins: int = 12, ridge
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = 6_000, pairs: int = 40_000) -> QualityModel:
     """Learns from the documents that labels names; both tables carry id_col."""
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label in (0, 1)")
-    given = given.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows).distinct()
+    given = sample_by_hash(given, "id", sample_rows).distinct()
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(given), "id")
 
     def kernel():
