@@ -32,6 +32,10 @@ def build_parser() -> argparse.ArgumentParser:
     make = commands.add_parser("generate", help="synthetic sources of n records")
     make.add_argument("--records", type=int, required=True)
     make.add_argument("--folder", required=True)
+    bench = commands.add_parser("bench", help="time index and retrieval on files")
+    for name in ("source1", "source2", "source3", "folder"):
+        bench.add_argument(f"--{name}", required=True)
+    bench.add_argument("--truth")
     return parser
 
 
@@ -39,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     from .config import DecisionConfig, RetrievalConfig
     from .functions import features, text
-    from .operators import evaluation, output, retrieval, store, training
+    from .operators import benchmark, evaluation, output, retrieval, store, training
     from .sources import generate, tsv
 
     spark = SparkSession.builder.getOrCreate()
@@ -60,6 +64,8 @@ def main(argv: list[str] | None = None) -> int:
         truth, matches = as_lists(args.truth), as_lists(args.matches)
         evaluation.require_same_queries(truth, matches, "predictions")
         print(evaluation.Evaluation.of(evaluation.macro(evaluation.counts(truth, matches))).summary())
+    elif args.command == "bench":
+        print(benchmark.report(benchmark.run(spark, args.source1, args.source2, args.source3, args.folder, args.truth)))
     elif args.command == "validate":
         findings = output.validate_files(spark, args.source1, args.matches, args.candidates, require_candidates=args.candidates is not None)
         print(output.summary(findings))

@@ -148,7 +148,7 @@ def error_examples(found: DataFrame, most: int = 10) -> DataFrame:
 
 
 def coverage(queries: DataFrame, output: DataFrame, countries: DataFrame, label: str = "france") -> DataFrame:
-    """How far output(s1) covers queries(s1), and those of one country label; countries(s1, country)."""
+    """How far output(s1) covers queries(s1), and those of one country label; countries(s1, country).  Up to ten ids are named."""
     q, o = queries.select("s1").distinct().withColumn("q", F.lit(True)), output.select("s1").distinct().withColumn("o", F.lit(True))
     labelled = countries.filter(F.lower(F.trim("country")) == label).select("s1").distinct().withColumn("l", F.lit(True))
     rows = q.join(o, "s1", "full").join(labelled, "s1", "full")
@@ -157,7 +157,10 @@ def coverage(queries: DataFrame, output: DataFrame, countries: DataFrame, label:
         F.count_if(has("q")).alias("total_s1"), F.count_if(has("o")).alias("output_s1"), F.count_if(has("q") & ~has("o")).alias("missing"), F.count_if(~has("q") & has("o")).alias("extra"),
         F.count_if(has("l")).alias("label_total"), F.count_if(has("l") & has("o")).alias("label_in_output"),
     )
-    return counted.withColumn("label_missing", F.col("label_total") - F.col("label_in_output"))
+    counted = counted.withColumn("label_missing", F.col("label_total") - F.col("label_in_output"))
+    for name, cond in (("missing_examples", has("q") & ~has("o")), ("extra_examples", ~has("q") & has("o"))):
+        counted = counted.join(rows.filter(cond).orderBy("s1").limit(10).agg(F.array_sort(F.collect_list("s1")).alias(name)))
+    return counted
 
 
 @dataclass

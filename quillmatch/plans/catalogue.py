@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import DecisionConfig, RetrievalConfig, SamplingConfig, TrainConfig
 from ..functions import features, ids, text
-from ..operators import audit, evaluation, output, retrieval, training
+from ..operators import audit, benchmark, evaluation, output, retrieval, training
 from ..sources import documents, generate
 from . import oracle
 
@@ -309,6 +309,11 @@ def reduction_ratios(s: Setting) -> DataFrame:
     return _rounded(evaluation.reduction(s.lists(s.candidates()), s.index.size()), 9)
 
 
+@_query
+def benchmark_stats(s: Setting) -> DataFrame:
+    return _rounded(benchmark.statistics(s.truth, s.lists(s.candidates()), s.index.size()))
+
+
 @_query
 def oracle_check(s: Setting) -> DataFrame:
     model = evaluation.macro(_counted(s)).select(F.round("macro_f_half", 6).alias("model"))
@@ -353,7 +358,8 @@ def validate_findings(s: Setting) -> DataFrame:
 @_query
 def coverage_check(s: Setting) -> DataFrame:
     shown = s.decided.filter(F.size("ids") > 0).select("s1")
-    return evaluation.coverage(s.spine, shown, s.countries.join(s.spine.select("s1"), "s1"), "fr")
+    found = evaluation.coverage(s.spine, shown, s.countries.join(s.spine.select("s1"), "s1"), "fr")
+    return _joined(found, "missing_examples", "extra_examples")
 
 
 @_query

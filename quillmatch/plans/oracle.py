@@ -181,13 +181,14 @@ need AS (SELECT DISTINCT cand AS entity_id FROM links WHERE s1 IN (SELECT entity
         "candidate_eval": f"SELECT sum(t)::BIGINT AS true_edges, sum(h)::BIGINT AS edges_recalled, {nan('sum(h)', 'sum(t)')} AS edge_recall, {nan('sum(h2)', 'sum(t2)')} AS s2_recall, {nan('sum(h3)', 'sum(t3)')} AS s3_recall, {nan(k('t > 0 AND t = h'), k('t > 0'))} AS complete_recall, round(avg({oracle}), 6) AS oracle_macro_f_half FROM ({rows})",
         "candidate_distribution": "SELECT min(n)::BIGINT AS min_n, round(avg(n), 6) AS mean_n, max(n)::BIGINT AS max_n, quantile_disc(n, 0.5)::BIGINT AS p50, quantile_disc(n, 0.95)::BIGINT AS p95, quantile_disc(n, 0.99)::BIGINT AS p99, round(quantile_cont(n::DOUBLE, 0.5), 6) AS median FROM (SELECT len(ids) AS n FROM lists)",
         "reduction_ratios": "SELECT s1_count, pairs, round(pairs / (s1_count * total), 9) AS kept_ratio, round(1 - pairs / (s1_count * total), 9) AS reduction_ratio FROM (SELECT count(*) AS s1_count, sum(len(ids))::BIGINT AS pairs, (SELECT n FROM n)::DOUBLE AS total FROM lists)",
+        "benchmark_stats": f"SELECT count(*) AS s1_count, sum(c)::BIGINT AS pairs, round(avg(c), 6) AS mean_n, round(quantile_cont(c::DOUBLE, 0.5), 6) AS median_n, min(c)::BIGINT AS min_n, max(c)::BIGINT AS max_n, round(1 - sum(c) / (count(*) * (SELECT n FROM n)::DOUBLE), 6) AS reduction_ratio, round(CASE WHEN sum(t) = 0 THEN 1.0 ELSE sum(h)::DOUBLE / sum(t) END, 6) AS edge_recall, round(CASE WHEN {k('t > 0')} = 0 THEN 1.0 ELSE {k('t > 0 AND t = h')}::DOUBLE / {k('t > 0')} END, 6) AS complete_coverage FROM (SELECT len(l.ids) AS c, len(t.ids) AS t, len(list_intersect(t.ids, l.ids)) AS h FROM lists l JOIN truth t USING (s1))",
         "oracle_check": f"SELECT model, oracle, model <= oracle + 1e-9 AS holds FROM (SELECT round(avg({_score('f_half')}), 6) AS model FROM counted), (SELECT round(avg({oracle}), 6) AS oracle FROM ({rows}))",
         "error_counts": (errors, "SELECT category, count(*) AS errors FROM errors GROUP BY category"),
         "error_examples": (errors, "SELECT category, s1, detail, place FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY s1, detail) AS place FROM errors) WHERE place <= 10"),
         "matching_results": "SELECT row_ord, s1 || chr(9) || array_to_string(ids, ',') AS line FROM decided",
         "candidate_file": "SELECT row_ord, s1 || chr(9) || array_to_string(list_sort(ids), ',') AS line FROM lists",
         "validate_findings": (found, "SELECT problem_type, count(*) AS findings, min(s1) AS first_s1 FROM findings GROUP BY problem_type"),
-        "coverage_check": f"SELECT count(*) AS total_s1, {k('shown')} AS output_s1, {k('NOT shown')} AS missing, 0::BIGINT AS extra, {k('fr')} AS label_total, {k('fr AND shown')} AS label_in_output, {k('fr AND NOT shown')} AS label_missing FROM (SELECT len(d.ids) > 0 AS shown, lower(trim(q.country)) = 'fr' AS fr FROM q JOIN decided d ON q.entity_id = d.s1)",
+        "coverage_check": f"SELECT count(*) AS total_s1, {k('shown')} AS output_s1, {k('NOT shown')} AS missing, 0::BIGINT AS extra, {k('fr')} AS label_total, {k('fr AND shown')} AS label_in_output, {k('fr AND NOT shown')} AS label_missing, coalesce(array_to_string((list(s1 ORDER BY s1) FILTER (NOT shown))[1:10], ','), '') AS missing_examples, '' AS extra_examples FROM (SELECT d.s1, len(d.ids) > 0 AS shown, lower(trim(q.country)) = 'fr' AS fr FROM q JOIN decided d ON q.entity_id = d.s1)",
         "data_audit": f"SELECT substr(entity_id, 1, 2) AS source, country, count(*) AS records, {k(chr(34) + 'name' + chr(34) + ' = ' + chr(39) * 2)} AS empty_names, {k('address = ' + chr(39) * 2)} AS empty_addresses, 0::BIGINT AS bad_ids FROM rec GROUP BY ALL",
         "match_length_histogram": "SELECT len(ids) AS links, count(*) AS queries FROM truth GROUP BY 1",
         "benchmark_sample": (sample, picked),

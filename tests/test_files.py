@@ -146,6 +146,8 @@ def test_command_line(spark, files, tmp_path, capsys):
     assert cli.main(["validate", "--source1", files["source1"], "--matches", out[0], "--candidates", out[1]]) == 0
     assert cli.main(["evaluate", "--truth", files["truth"], "--matches", out[0]]) == 0
     assert "macro_f_half" in capsys.readouterr().out
+    assert cli.main(["bench", *[x for k in ("source1", "source2", "source3", "truth") for x in (f"--{k}", files[k])], "--folder", str(tmp_path / "b")]) == 0
+    assert "edge_recall: 1.0000" in capsys.readouterr().out
     assert cli.main(["generate", "--records", "20", "--folder", str(tmp_path / "gen")]) == 0
     with pytest.raises(SystemExit):
         cli.main(["unknown"])

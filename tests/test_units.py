@@ -147,6 +147,15 @@ def test_evaluation_fixture(spark):
     assert (d["p50"], d["p95"], d["p99"], d["median"]) == (10, 19, 20, 10.5)
 
 
+def test_benchmark_statistics(spark):
+    from quillmatch.operators import benchmark
+
+    lists = _lists(spark, [("S1-1", ["S2-1", "S3-1"]), ("S1-2", []), ("S1-3", ["S2-3"]), ("S1-4", [])])
+    got = benchmark.statistics(_lists(spark, [("S1-1", ["S2-1"]), ("S1-2", ["S2-2"])]), lists, 5).first()
+    assert (got["pairs"], got["mean_n"], got["median_n"], got["reduction_ratio"], got["edge_recall"], got["complete_coverage"]) == (3, 0.75, 0.5, 1 - 3 / 20, 0.5, 0.5)
+    assert benchmark.statistics(_lists(spark, []), lists, 0).first()["edge_recall"] == 1.0
+
+
 def test_findings(spark):
     q = spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",)], "s1 string")
     corpus = spark.createDataFrame([("S2-1",), ("S3-1",)], "entity_id string")
