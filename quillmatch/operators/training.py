@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import shutil
 from dataclasses import asdict, dataclass, field
@@ -165,8 +164,3 @@ def threshold_sweep(queries: DataFrame, scored: DataFrame, links: DataFrame, thr
     means = counts.agg(*[F.avg(f_half(F.col("t"), F.col(f"p{i}"), F.col(f"c{i}"))).alias(f"m{i}") for i in range(len(thresholds))])
     rows = F.inline(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"m{i}").alias("macro_f_half")) for i, t in enumerate(thresholds)]))
     return means.select(rows)
-
-
-def digest_pick(seed: int, s1: str, cand: str) -> str:
-    """The key that orders the negatives of an S1, on the driver."""
-    return hashlib.sha256(f"{seed}|{s1}|{cand}".encode()).hexdigest()
