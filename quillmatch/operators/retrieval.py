@@ -142,10 +142,18 @@ def hits(queries: DataFrame, index: Index, config: RetrievalConfig = RetrievalCo
 
 
 def union(found: DataFrame) -> DataFrame:
-    """One row per pair: sorted routes, their scores by route, and the sum."""
-    by_route = F.map_from_entries(F.array_sort(F.collect_list(F.struct("route", "score"))))
-    rows = found.groupBy("s1", "cand").agg(F.array_sort(F.collect_set("route")).alias("routes"), by_route.alias("scores"), F.round(F.sum("score"), 12).alias("total"))
-    return rows.withColumn("n_routes", F.size("routes").cast("long"))
+    """One row per pair: sorted routes, their scores by route, and the sum.
+
+    Each route has a column of its own, so the aggregation keeps plain numbers and no lists.
+    """
+    names = sorted(ROUTES)
+    rows = found.groupBy("s1", "cand").agg(*[F.max(F.when(F.col("route") == r, F.col("score"))).alias(f"__{r}") for r in names])
+    of = {r: F.col(f"__{r}") for r in names}
+    routes = F.filter(F.array(*[F.when(c.isNotNull(), F.lit(r)) for r, c in of.items()]), lambda x: x.isNotNull())
+    entries = F.filter(F.array(*[F.struct(F.lit(r).alias("route"), c.alias("score")) for r, c in of.items()]), lambda x: x["score"].isNotNull())
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in of.values()), F.lit(0.0))
+    count = sum((c.isNotNull().cast("long") for c in of.values()), F.lit(0))
+    return rows.select("s1", "cand", routes.alias("routes"), F.map_from_entries(entries).alias("scores"), F.round(total, 12).alias("total"), count.cast("long").alias("n_routes"))
 
 
 def ranked(pairs: DataFrame, cap: int | None) -> DataFrame:
