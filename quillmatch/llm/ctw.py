@@ -11,10 +11,13 @@ the data does not matter.  ``score`` is the log10 probability of all bytes,
 ``code_length`` their bits a byte.
 
 What is learnt covers every training text: counts of all windows of depth + 1
-bytes and of all words, summed before and after one shuffle.  The tree that is
-broadcast is bounded: contexts seen less than a threshold are merged into one
-remaining child of their parent, and the threshold is the smallest (on a scale
-of quarter octaves) that leaves at most ``grams`` pairs of context and byte.
+bytes and of all words, summed before and after one shuffle, and no context is
+left out.  Contexts with the same last ``SHARED`` bytes form a subtree, weighed
+within one task; what is above the subtrees is bounded by the bytes there are,
+weighed on the driver and broadcast.  With both, every window of any text gets
+its probability.  The windows used most, at most ``grams`` by a threshold on
+their uses, are broadcast; all others meet theirs in a shuffle, so ``grams``
+bounds memory and changes no score.
 
 The base is a unigram model of words: log10((c + 0.5) / (N + 0.5 (V + 1))).  The
 most frequent words, at most ``head`` by a threshold on their counts, are
@@ -38,10 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_bytes, texts
+from .common import Scratch, as_bytes, slices, texts
 
 DEPTH = 5
 GRAMS = 600_000
+SHARED = 3
+CHUNK = 100_000
 HEAD = 262_144
 END = b"\n"
 _LN10 = math.log(10)
@@ -75,7 +80,7 @@ def windows(data: list[bytes], depth: int) -> np.ndarray:
 
 
 def _count(depth: int):
-    """(text) -> partial counts of words (the end is the empty word) and of windows."""
+    """(text, held_out) -> partial counts, n in training texts and uses in all, of words (the end is the empty word; training only) and of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
@@ -84,37 +89,40 @@ def _count(depth: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal held
-            keys, counts = _sum(grams)
+            keys, counts = _sum(grams) if grams else (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
             n, m = len(words), len(keys)
             out = pa.RecordBatch.from_arrays(
                 [
                     pa.array([*words.keys(), *[None] * m], pa.binary()),
                     pa.array(np.concatenate([np.zeros(n, np.int64), keys.view(np.int64)]), mask=np.repeat([True, False], [n, m])),
-                    pa.array(np.concatenate([np.fromiter(words.values(), np.int64, n), counts])),
+                    *[pa.array(np.concatenate([np.fromiter(words.values(), np.int64, n), counts[:, i]])) for i in range(2)],
                 ],
-                names=["word", "gram", "n"],
+                names=["word", "gram", "n", "uses"],
             )
             words.clear()
             grams.clear()
             held = 0
             return out
 
-        for batch in batches:
-            data = texts(batch.column(0))
+        for batch in slices(batches):
+            data, out = texts(batch.column(0)), batch.column(1).to_pylist()
             at = 0
             while at < len(data):
-                lines: list[bytes] = []
+                lines: tuple[list[bytes], list[bytes]] = [], []
                 size = 0
-                while at < len(data) and (not lines or size < 2_000_000):
+                while at < len(data) and size < 2_000_000:
                     w, x = line(data[at])
-                    words.update(w)
-                    words[b""] += 1
-                    lines.append(x)
+                    # null is neither learnt from nor held out
+                    if out[at] is False:
+                        words.update(w)
+                        words[b""] += 1
+                    lines[out[at] is False].append(x)
                     size += len(x)
                     at += 1
-                keys, counts = np.unique(windows(lines, depth), return_counts=True)
-                grams.append((keys, counts.astype(np.int64)))
-                held += len(keys)
+                for learnt, some in enumerate(lines):
+                    keys, counts = np.unique(windows(some, depth), return_counts=True)
+                    grams.append((keys, np.stack([counts * learnt, counts], 1).astype(np.int64)))
+                    held += len(keys)
                 if held > 1_500_000:
                     grams[:] = [_sum(grams)]
                     held = len(grams[0][0])
@@ -175,14 +183,18 @@ def _bits(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return kinds, np.bincount(back, total, len(kinds)) - one, one
 
 
-def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """levels[d]: context << 8 | byte of depth d, sorted, with counts; every context's suffix is a context too."""
-    depth = len(levels) - 1
-    bits = [_bits(k, c) for k, c in levels]
-    nodes: list = [None] * len(levels)
-    below: tuple | None = None
-    for d in range(depth, -1, -1):
-        key, zeros, ones = bits[d]
+def _parent(node: np.ndarray, depth: int) -> np.ndarray:
+    """The nodes of this depth on the paths of deeper ones."""
+    return ((node >> np.uint64(8)) & np.uint64((1 << (8 * depth)) - 1)) << np.uint64(8) | (node & np.uint64(255))
+
+
+def _weigh(bits: list[tuple[np.ndarray, np.ndarray, np.ndarray]], least: int = 0, below: tuple | None = None) -> tuple[list, tuple]:
+    """bits[i]: sorted nodes of depth least + i with zeros and ones; below: the nodes under the last with their weighted probability.
+
+    Returns the nodes as Tree has them and those of depth least as ``below`` is."""
+    nodes: list = [None] * len(bits)
+    for d in range(least + len(bits) - 1, least - 1, -1):
+        key, zeros, ones = bits[d - least]
         own = log_estimate(zeros, ones)
         estimate = (ones + 0.5) / (zeros + ones + 1)
         if below is None:
@@ -190,9 +202,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
             weighted = own
         else:
             child, child_zeros, child_ones, child_weighted = below
-            mask = np.uint64((1 << (8 * (d + 1))) - 1)
-            parent = (((child >> np.uint64(8)) & (mask >> np.uint64(8))) << np.uint64(8)) | (child & np.uint64(255))
-            at = np.searchsorted(key, parent)
+            at = np.searchsorted(key, _parent(child, d))
             less = lambda w, at=at, n=len(key): np.bincount(at, w, n)
             rest0, rest1 = np.maximum(zeros - less(child_zeros), 0), np.maximum(ones - less(child_ones), 0)
             split = less(child_weighted) + log_estimate(rest0, rest1)
@@ -200,9 +210,15 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
             rest = (rest1 + 0.5) / (rest0 + rest1 + 1)
             weighted = np.logaddexp(own, split) - math.log(2)
         weight = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-        nodes[d] = (key, weight.astype(np.float32), estimate, rest)
+        nodes[d - least] = (key, weight, estimate, rest)
         below = (key, zeros, ones, weighted)
-    tree = Tree(depth, [np.unique(k >> np.uint64(8)) for k, _ in levels], nodes, [])
+    return nodes, below
+
+
+def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
+    """levels[d]: context << 8 | byte of depth d, sorted, with counts; every context's suffix is a context too."""
+    nodes, _ = _weigh([_bits(k, c) for k, c in levels])
+    tree = Tree(len(levels) - 1, [np.unique(k >> np.uint64(8)) for k, _ in levels], nodes, [])
     for d, (keys, _) in enumerate(levels):
         tree.grams.append((keys, log_probability(tree, keys, np.full(len(keys), d))))
     return tree
@@ -273,7 +289,7 @@ class _Table:
         self.shift = np.uint64(64 - (self.size.bit_length() - 1))
         self.keys = np.zeros(self.size, np.uint64)
         self.used = np.zeros(self.size, bool)
-        self.values = np.zeros(self.size, np.float32)
+        self.values = np.zeros(self.size)
         slot = self._slot(keys)
         left = np.arange(len(keys))
         while len(left):
@@ -312,10 +328,97 @@ def _least(sizes: list, most: int) -> int:
     return least
 
 
+def count(source: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
+    """source(text binary, held_out boolean) -> (word, gram, n, uses); either word or gram is null."""
+    counted = source.mapInArrow(_count(depth), "word binary, gram long, n long, uses long")
+    return scratch.save(counted.groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "counts")
+
+
+def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """(part, columns...) sorted by part -> the columns for whole parts, some CHUNK rows at a time."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([np.array(c.to_numpy(zero_copy_only=False)) for c in batch.columns])
+        size += batch.num_rows
+        if size >= CHUNK and held[0][0][0] != held[-1][0][-1]:
+            columns = list(map(np.concatenate, zip(*held, strict=True)))
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield [x[:cut] for x in columns[1:]]
+            held, size = [[x[cut:] for x in columns]], size - cut
+    if held:
+        yield list(map(np.concatenate, zip(*held, strict=True)))[1:]
+
+
+def _subtree(gram: np.ndarray, n: np.ndarray, least: int, depth: int) -> tuple[list, tuple]:
+    """_weigh for the windows of whole parts, from depth least on."""
+    keys, counts, bits = gram[n > 0].view(np.uint64), n[n > 0], []
+    for d in range(depth, least - 1, -1):
+        keys, counts = _sum([(keys & np.uint64((1 << (8 * (d + 1))) - 1), counts)])
+        bits.append(_bits(keys, counts))
+    return _weigh(bits[::-1], least)
+
+
+def _roots(least: int, depth: int):
+    """(part, gram, n) -> what the subtrees give to the nodes above them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n in _whole_parts(batches):
+            key, *values = _subtree(gram, n, least, depth)[1]
+            kinds, back = np.unique(_parent(key, least - 1), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), *[pa.array(np.bincount(back, v, len(kinds))) for v in values]], names=["node", "zeros", "ones", "weighted"])
+
+    return run
+
+
+def _top(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, least: int) -> list:
+    """The nodes above the subtrees, from what _roots gives to those of depth least - 1."""
+    order = np.argsort(node)
+    below = tuple(x[order] for x in (node, zeros, ones, weighted))
+    bits = [below[:3]]
+    for d in range(least - 2, -1, -1):
+        key, back = np.unique(_parent(bits[0][0], d), return_inverse=True)
+        bits.insert(0, (key, *[np.bincount(back, x, len(key)) for x in bits[0][1:]]))
+    return _weigh(bits, 0, below)[0]
+
+
+def _price(least: int, depth: int, top):
+    """(part, gram, n, uses) -> (gram, uses, p)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n, uses in _whole_parts(batches):
+            tree = Tree(depth, [], [*top.value, *_subtree(gram, n, least, depth)[0]], [])
+            window = gram.view(np.uint64)
+            deepest = np.full(len(gram), -1)
+            for d, (key, *_) in enumerate(tree.nodes):
+                if len(key):
+                    root = (window >> np.uint64(8) & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8) | np.uint64(1)
+                    deepest[key[np.minimum(np.searchsorted(key, root), len(key) - 1)] == root] = d
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(uses), pa.array(log_probability(tree, window, deepest))], names=["gram", "uses", "p"])
+
+    return run
+
+
+def price(grams: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
+    """grams(gram, n, uses) -> (gram, uses, p): the natural log of each window's last byte after the others, in the tree of all windows."""
+    least = min(SHARED, depth)
+    part = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * least)) - 1)).alias("part")
+    dealt = lambda *columns: grams.select(part, *columns).repartition("part").sortWithinPartitions("part")
+    roots = dealt("gram", "n").filter("n > 0").mapInArrow(_roots(least, depth), "node long, zeros double, ones double, weighted double")
+    roots = roots.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]).toArrow()
+    node, *values = (np.array(roots.column(i).to_numpy()) for i in range(4))
+    top = grams.sparkSession.sparkContext.broadcast(_top(node.astype(np.uint64), *values, least))
+    return scratch.save(dealt("gram", "n", "uses").mapInArrow(_price(least, depth, top), "gram long, uses long, p double"), "priced")
+
+
 def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int = GRAMS) -> tuple[Tree, DataFrame]:
-    """texts_df(text binary) -> the tree, and the table (word binary, n) of all words; the empty word is the end."""
-    counted = texts_df.mapInArrow(_count(depth), "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n"))
-    counted = scratch.save(counted, "counts")
+    """texts_df(text binary) -> a tree in one piece, and the table (word binary, n) of all words; the empty word is the end.
+
+    Contexts seen less than a threshold are merged into one remaining child of their parent, so that at most ``grams`` pairs of
+    context and byte are left.  score() does not use this tree, it weighs all contexts."""
+    counted = count(texts_df.select("text", F.lit(False).alias("held_out")), scratch, depth)
     levels = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit((1 << (8 * (d + 1))) - 1).alias("mask")) for d in range(depth + 1)])).alias("level")
     keyed = counted.filter("gram is not null").select("gram", "n", levels)
     keyed = keyed.select(F.col("level.d").alias("d"), F.col("gram").bitwiseAND(F.col("level.mask")).alias("key"), "n").groupBy("d", "key").agg(F.sum("n").alias("n"))
@@ -335,12 +438,11 @@ def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int
     return build(out), counted.filter("word is not null").select("word", "n")
 
 
-def _score(name: str, tree, head, n_total: int, kinds: int):
-    """(id, text, held) -> a row per text, with the words that the head lacks."""
+def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
+    """(id, text, held) -> a row per text, with the words and the windows that the heads lack."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, logs = _shared(name, tree, head, n_total, kinds)
-        depth = scorer.tree.depth
+        prices, logs = _shared(name, grams, head, n_total, kinds)
         rid = TaskContext.get().partitionId() << 36
         for whole in batches:
             step = max(1, whole.num_rows * 4_000_000 // max(1, whole.nbytes))
@@ -360,22 +462,36 @@ def _score(name: str, tree, head, n_total: int, kinds: int):
                     known.append(len(found) + (end is not None))
                     base.append(math.fsum(found) + (end if end is not None else math.log10(0.5 / (n_total + 0.5 * (kinds + 1)))))
                 scores = np.zeros(len(lines))
+                rare, rare_uses, rare_ends = [], [], [np.zeros(1, np.int64)]
                 at = 0
                 while at < len(lines):
                     stop, size = at, 0
                     while stop < len(lines) and (stop == at or size < 500_000):
                         size += len(lines[stop])
                         stop += 1
-                    p = scorer.score(windows(lines[at:stop], depth))
-                    ends = np.cumsum([len(x) for x in lines[at:stop]])
-                    scores[at:stop] = np.add.reduceat(p, np.concatenate([[0], ends[:-1]])) / _LN10
+                    window = windows(lines[at:stop], depth)
+                    hit, p = prices.get(window)
+                    sizes = [len(x) for x in lines[at:stop]]
+                    scores[at:stop] = np.add.reduceat(np.where(hit, p, 0), np.cumsum([0, *sizes[:-1]])) / _LN10
+                    which, lacked = np.repeat(np.arange(stop - at), sizes)[~hit], window[~hit]
+                    order = np.lexsort((lacked, which))
+                    which, lacked = which[order], lacked[order]
+                    new = np.ones(len(which), bool)
+                    new[1:] = (which[1:] != which[:-1]) | (lacked[1:] != lacked[:-1])
+                    starts = np.flatnonzero(new)
+                    rare.append(lacked[starts].view(np.int64))
+                    rare_uses.append(np.diff(np.append(starts, len(which))))
+                    rare_ends.append(rare_ends[-1][-1] + np.cumsum(np.bincount(which[starts], minlength=stop - at)))
                     at = stop
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (rare, rare_uses)], names=["gram", "k"])
+                ends = pa.array(np.concatenate(rare_ends).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(rid, rid + len(data))), batch.column(0), batch.column(2), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
                         pa.array(scores), pa.array([len(x) for x in lines], pa.int64()), pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))),
+                        pa.ListArray.from_arrays(ends, pairs),
                     ],
-                    names=["rid", "id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "tail"],
+                    names=["rid", "id", "held_out", "n_tokens", "known", "base", "score", "n_bytes", "tail", "rare"],
                 )
                 rid += len(data)
 
@@ -385,13 +501,13 @@ def _score(name: str, tree, head, n_total: int, kinds: int):
 _SHARED: dict[str, tuple] = {}
 
 
-def _shared(name: str, tree, head, n_total: int, kinds: int) -> tuple[Scorer, dict[bytes, float]]:
-    """One scorer and one table of the head for each worker process and model."""
+def _shared(name: str, grams, head, n_total: int, kinds: int) -> tuple[_Table, dict[bytes, float]]:
+    """One table of each head for each worker process and model."""
     if name not in _SHARED:
         _SHARED.clear()
         words, counts = head.value
         whole = n_total + 0.5 * (kinds + 1)
-        _SHARED[name] = Scorer(tree.value), dict(zip(words, np.log10((counts + 0.5) / whole).tolist(), strict=True))
+        _SHARED[name] = _Table(*grams.value), dict(zip(words, np.log10((counts + 0.5) / whole).tolist(), strict=True))
     return _SHARED[name]
 
 
@@ -403,7 +519,13 @@ def score(
     The model learns from the rows for which held_out is false."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "ctw")
     source = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"), held_out.alias("held_out"))
-    tree, words = learn(source.filter("not held_out").select("text"), scratch, depth, grams)
+    counted = count(source.select("text", "held_out"), scratch, depth)
+    words = counted.filter("word is not null").select("word", "n")
+    priced = price(counted.filter("gram is not null").select("gram", "n", "uses"), scratch, depth)
+    used = F.floor(8 * F.log2("uses"))
+    often = _least(priced.groupBy(used).count().collect(), grams)
+    known = priced.filter(used >= often).select("gram", "p").toArrow()
+    known_prices = known.column(0).to_numpy().astype(np.uint64), known.column(1).to_numpy()
     n_total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     eighth = F.floor(8 * F.log2("n"))
     top = words.filter(eighth >= _least(words.groupBy(eighth).count().collect(), head)).toArrow()
@@ -412,14 +534,17 @@ def score(
     at_head = (names, counts) if not ends or b"" in names else ([*names, b""], np.append(counts, ends))
     context = spark.sparkContext
     kind = source.schema["id"].dataType.simpleString()
-    ddl = f"rid long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, tail array<struct<word: binary, k: long>>"
-    scored = source.mapInArrow(_score(scratch.root, context.broadcast(tree), context.broadcast(at_head), n_total, kinds), ddl)
+    ddl = f"rid long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long, tail array<struct<word: binary, k: long>>, rare array<struct<gram: long, k: long>>"
+    scored = source.mapInArrow(_score(scratch.root, depth, context.broadcast(known_prices), context.broadcast(at_head), n_total, kinds), ddl)
     scored = scratch.save(scored, "scored")
     tail = scored.select("rid", F.inline("tail")).join(words, "word", "left")
     seen = F.coalesce("n", F.lit(0))
     p = F.log10((seen + 0.5) / F.lit(n_total + 0.5 * (kinds + 1)))
     sums = tail.groupBy("rid").agg(F.sum(F.when(seen > 0, F.col("k")).otherwise(0)).alias("more"), F.sum(F.col("k") * p).alias("rest"))
-    return scored.drop("tail").join(sums, "rid", "left").select(
+    rare = scored.select("rid", F.inline("rare")).join(priced.filter(used < often).select("gram", "p"), "gram")
+    rare = rare.groupBy("rid").agg((F.sum(F.col("k") * F.col("p")) / _LN10).alias("lacked"))
+    scored = scored.join(rare, "rid", "left").withColumn("score", F.col("score") + F.coalesce("lacked", F.lit(0.0)))
+    return scored.drop("tail", "rare", "lacked").join(sums, "rid", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n_total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score", (-F.col("score") * math.log2(10) / F.col("n_bytes")).alias("code_length"),
     )

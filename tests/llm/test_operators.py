@@ -192,6 +192,18 @@ def test_ctw_probabilities_sum_to_one(spark):
             assert np.exp(scorer.score(np.array([base | b for b in range(256)], np.uint64))).sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize(("depth", "grams"), [(1, 10), (2, 20), (5, 40), (5, 10_000)])
+def test_ctw_scores_keep_every_context(spark, depth, grams):
+    """However few windows are broadcast, texts are scored by the tree of all contexts of the training texts."""
+    learnt = ["Abc abd abc.", "bcd abc", "", "abc abc", None, "to be or not to be that is the question"]
+    held = ["abc zzz", "qq", "ABC abx \xe9", "that is not the question", "abd abc bcd abc abc", ""]
+    rows = spark.createDataFrame([(i, t, i >= len(learnt)) for i, t in enumerate(learnt + held)], "doc_id long, text string, out boolean").repartition(3)
+    found = {r["doc_id"]: r["score"] for r in ctw.score(rows, F.col("out"), depth=depth, grams=grams).collect()}
+    data = [(t or "").encode() for t in learnt + held]
+    for i, t in enumerate(data):
+        assert found[i] == pytest.approx(_ctw_brute(data[: len(learnt)], t, depth), rel=1e-6)
+
+
 @pytest.mark.parametrize("head", [5, 100_000])
 def test_ctw_base_scores(spark, sf_dir, docs, head):
     found = ctw.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), queries.remainder_is_one("doc_id", 5), head=head).collect()
