@@ -349,6 +349,25 @@ def test_near_copies_are_found_and_others_stay(spark, cell_rows):
     assert {i for i in range(130) if first[i] == i} == kept
 
 
+@pytest.mark.parametrize("cell_rows", [7, 4096])
+def test_near_copies_equal_all_pairs_by_jaccard(spark, cell_rows):
+    """Around 0.8, short texts and repeated shingles too."""
+    rng = random.Random(3)
+    texts = []
+    for n in [8, 9, 10, 14, 20, 40, 100, 300] * 12:
+        base = [f"w{rng.randrange(4000)}" for _ in range(n)]
+        texts += [" ".join(base), " ".join(base[: rng.randrange(n * 7 // 10, n)]), " ".join(base[1:] + ["z"]), " ".join(base * 3), _edited(rng, base, rng.choice([0.08, 0.1, 0.12, 0.15]))]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    first = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if first[i] != first[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((first[i], first[j]))
+                first = [low if x == high else x for x in first]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in simhash.keep_first(df, cell_rows=cell_rows).collect()} == set(first)
+
+
 def test_wide_words_are_independent():
     fp = simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3, 8)
     assert (fp[:, 0] == simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3)[:, 0]).all()
