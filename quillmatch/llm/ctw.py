@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, slices, texts
 
-DEPTH = 5
+DEPTH = 6
 GRAMS = 600_000
 SHARED = 3
 CHUNK = 100_000

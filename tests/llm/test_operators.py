@@ -204,6 +204,14 @@ def test_ctw_scores_keep_every_context(spark, depth, grams):
         assert found[i] == pytest.approx(_ctw_brute(data[: len(learnt)], t, depth), rel=1e-6)
 
 
+def test_ctw_default_depth_is_six(spark):
+    learnt = ["to be or not to be that is the question", "not to be", "the question is that"]
+    rows = spark.createDataFrame(list(enumerate(learnt)), "doc_id long, text string")
+    data = [t.encode() for t in learnt]
+    for r in ctw.score(rows, F.lit(False)).collect():
+        assert r["score"] == pytest.approx(_ctw_brute(data, data[r["doc_id"]], 6), rel=1e-6)
+
+
 @pytest.mark.parametrize("head", [5, 100_000])
 def test_ctw_base_scores(spark, sf_dir, docs, head):
     found = ctw.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), queries.remainder_is_one("doc_id", 5), head=head).collect()
