@@ -14,7 +14,11 @@ Words never influence one another, so their encodings are kept in a bounded
 cache of each worker.
 
 Null texts count as empty.  An empty text has no ids and decodes to the empty
-text.  Rows with a null id and repeated rows are encoded each.
+text; an empty table gives an empty one.  Rows with a null id and repeated rows
+are encoded each.  Equal ranks of overlapping pairs merge from the left.  Texts
+and words of any length are encoded whole: exact merging takes n log n steps for
+a word of n letters, and a batch's texts are taken some megabytes at a time.
+Columns whose names clash with the results', in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterable
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -116,22 +121,31 @@ class SpeculativeBPE:
         return s
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """Exact BPE: always the leftmost pair of the lowest rank."""
-        s, rank, after = list(symbols), self.merges.get, self.merged
-        none = len(after)
-        ranks = [rank(a << 32 | b, none) for a, b in zip(s, s[1:], strict=False)]
-        while ranks:
-            low = min(ranks)
-            if low == none:
-                break
-            i = ranks.index(low)
-            s[i : i + 2] = [after[low]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank(s[i - 1] << 32 | s[i], none)
-            if i < len(ranks):
-                ranks[i] = rank(s[i] << 32 | s[i + 1], none)
-        return s
+        """Exact BPE: always the leftmost pair of the lowest rank.
+
+        Pairs wait in a heap by rank and place, and merged symbols leave a linked list, so n symbols take n log n steps."""
+        s, rank, after, n = list(symbols), self.merges.get, self.merged, len(symbols)
+        if n < 2:
+            return s
+        heap = [r << 32 | i for i in range(n - 1) if (r := rank(s[i] << 32 | s[i + 1])) is not None]
+        heapify(heap)
+        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            low, i = divmod(heappop(heap), 1 << 32)
+            j = following[i]
+            # a pair that was merged or changed since it was pushed is passed over; its successor has an entry of its own
+            if s[i] < 0 or j == n or rank(s[i] << 32 | s[j]) != low:
+                continue
+            s[i], s[j] = after[low], -1
+            k = following[i] = following[j]
+            if k < n:
+                before[k] = i
+                if (r := rank(s[i] << 32 | s[k])) is not None:
+                    heappush(heap, r << 32 | i)
+            h = before[i]
+            if h >= 0 and (r := rank(s[h] << 32 | s[i])) is not None:
+                heappush(heap, r << 32 | h)
+        return [x for x in s if x >= 0]
 
     def propose(self, word: str) -> list[int]:
         """The longest token at each place; the last one carries the mark of the word's end."""
