@@ -6,18 +6,22 @@ remainder goes to the fill level (or to a new window) that makes the sum of the
 squared counts smallest, ties to the fullest window.  A full window is closed
 and its pieces are returned.
 
-At the end of a task the pieces of the open windows, fullest first, are laid end
-to end and cut at every full window.  What is left, less than one window, is cut
-at powers of two if ``split_last`` is set, since windows of such a length need
-no padding; else it is one window to be padded.
+At the end of a task the windows still open are items themselves: largest first,
+each goes by the same rule to a level of a new array, whole.  So the window of
+every remainder is one that the level array chose.  An open window that is left
+over is cut at powers of two if ``split_open`` is set, since sequences of such a
+length need no padding; else it is one sequence to be padded.
 
 Memory is bounded by the open windows, at most one for each level in the usual
 case.  A lost task is repeated alone; a window's number is made of its task's
 number and its own, so it is repeatable wherever the order of rows is.
 
 Null texts count as empty.  An empty text is a document of one token, the end
-id.  Rows with a null id are packed alike.  Repeated rows are packed each.
-An empty table gives no pieces.
+id.  Texts of any length are encoded whole, and their whole windows are closed
+as they are cut.  Rows with a null id are packed alike.  Repeated rows are
+packed each.  Equal sums of squares go to the fullest window.  Of the input only
+the id and the text are read, so other columns can't clash.  An empty table
+gives no pieces.
 """
 
 from __future__ import annotations
@@ -55,62 +59,54 @@ class SumOfSquares:
         change = np.where(usable, change, np.iinfo(np.int64).max)
         return len(change) - 1 - int(np.argmin(change[::-1]))
 
-    def place(self, piece: Piece) -> list[Piece] | None:
-        """The window's pieces if the piece fills it."""
-        size = len(piece[2]) // 4
+    def put(self, held: list[Piece], size: int) -> list[Piece] | None:
+        """The window's pieces if these, of so many tokens, fill it."""
         h = self.level(size)
         if h:
-            held = self.open[h].pop()
+            held = self.open[h].pop() + held
             self.counts[h] -= 1
-        else:
-            held = []
-        held.append(piece)
         if h + size == self.window:
             return held
         self.open[h + size].append(held)
         self.counts[h + size] += 1
         return None
 
-    def finish(self, split_last: bool) -> Iterator[list[Piece]]:
-        """Merges and closes the open windows."""
-        left = [held for h in range(self.window - 1, 0, -1) for held in self.open[h]]
+    def place(self, piece: Piece) -> list[Piece] | None:
+        """The window's pieces if the piece fills it."""
+        return self.put([piece], len(piece[2]) // 4)
+
+    def finish(self, split_open: bool) -> Iterator[list[Piece]]:
+        """Puts the open windows together, whole, and closes them."""
+        last = SumOfSquares(self.window)
+        for h in range(self.window - 1, 0, -1):
+            for held in self.open[h]:
+                if full := last.put(held, h):
+                    yield full
         self.__init__(self.window)
-        room, now = self.window, []
-        loose = [p for held in left for p in held]
-        for doc, start, ids, total in loose:
-            while ids:
-                take = ids[: 4 * room]
-                now.append((doc, start, take, total))
-                room -= len(take) // 4
-                start += len(take) // 4
-                ids = ids[len(take) :]
-                if not room:
-                    yield now
-                    room, now = self.window, []
-        if not now:
-            return
-        if not split_last:
-            yield now
-            return
-        total = self.window - room
-        for bit in range(total.bit_length() - 1, -1, -1):
-            need, part = (total >> bit & 1) << bit, []
-            while need:
-                doc, start, ids, n = now[0]
-                take = ids[: 4 * need]
-                part.append((doc, start, take, n))
-                need -= len(take) // 4
-                if len(take) == len(ids):
-                    now.pop(0)
-                else:
-                    now[0] = (doc, start + len(take) // 4, ids[len(take) :], n)
-            if part:
-                yield part
+        for h in range(self.window - 1, 0, -1):
+            for held in last.open[h]:
+                yield from binary(held, h) if split_open else [held]
+
+
+def binary(held: list[Piece], total: int) -> Iterator[list[Piece]]:
+    """The pieces of a window of so many tokens, cut into sequences whose lengths are different powers of two, the longest first."""
+    rest = held[::-1]
+    for bit in range(total.bit_length() - 1, -1, -1):
+        need, part = (total >> bit & 1) << bit, []
+        while need:
+            doc, start, ids, n = rest.pop()
+            take = ids[: 4 * need]
+            part.append((doc, start, take, n))
+            need -= len(take) // 4
+            if len(take) < len(ids):
+                rest.append((doc, start + len(take) // 4, ids[len(take) :], n))
+        if part:
+            yield part
 
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0,
-    tokenizer: str | None = None, split_last: bool = True, with_ids: bool = True,
+    tokenizer: str | None = None, split_open: bool = True, with_ids: bool = True,
 ) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids."""
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
@@ -153,7 +149,7 @@ def pack(
                 if whole < total and (full := packer.place((doc, whole, ids[4 * whole :], total))):
                     close(full)
             yield drain()
-        for held in packer.finish(split_last):
+        for held in packer.finish(split_open):
             close(held)
         yield drain()
 
