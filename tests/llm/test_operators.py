@@ -91,6 +91,31 @@ def test_quality_is_a_preference_model():
     assert np.mean((s >= m.cut) == y) > 0.95 and np.mean(s >= m.cut) == pytest.approx(y.mean(), abs=0.01)
 
 
+def test_quality_fit_against_a_plain_loop():
+    """The same binned features and pairs, fitted by plain gradient ascent on the sum over pairs of log P(a over b)."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, len(quality.NAMES)))
+    y = (x[:, 0] + 0.5 * x[:, 5] + rng.normal(size=120) > 0).astype(int)
+    m = quality.fit(x, y, pairs=400, bins=2, ridge=5.0, steps=30)
+    edges = [sorted(np.quantile(x[:, j], [1 / 3, 2 / 3])) for j in range(x.shape[1])]
+    b = [[float(row[j] > e) for j in range(len(row)) for e in edges[j]] for row in x]
+    draw = np.random.default_rng(7)
+    better, worse = [i for i in range(120) if y[i] == 1], [i for i in range(120) if y[i] == 0]
+    pairs = list(zip(draw.choice(better, 400), draw.choice(worse, 400), strict=True))
+    d = [[p - q for p, q in zip(b[i], b[j], strict=True)] for i, j in pairs]
+    w = [0.0] * len(b[0])
+    for _ in range(400):
+        gradient = [-5.0 * v for v in w]
+        for row in d:
+            wrong = 1 / (1 + math.exp(sum(u * v for u, v in zip(row, w, strict=True))))
+            gradient = [g + wrong * u for g, u in zip(gradient, row, strict=True)]
+        w = [v + 0.01 * g for v, g in zip(w, gradient, strict=True)]
+    assert m.weights == pytest.approx(w, abs=2e-3)
+    raw = sorted(sum(u * v for u, v in zip(row, m.weights, strict=True)) for row in b)
+    at = (1 - y.mean()) * 119
+    assert m.cut == pytest.approx(raw[int(at)] + (at - int(at)) * (raw[min(int(at) + 1, 119)] - raw[int(at)]))
+
+
 # 2 language
 
 
@@ -121,6 +146,80 @@ def test_forward_sums_all_segmentations():
         assert m.word_scores([w])[0, 0] == pytest.approx(math.log(brute("▁" + w)))
 
 
+def _segmentations(word, pieces):
+    """Every way to cut a word into pieces or single letters."""
+    if not word:
+        yield []
+    for k in range(1, len(word) + 1):
+        if k == 1 or word[:k] in pieces:
+            for rest in _segmentations(word[k:], pieces):
+                yield [word[:k], *rest]
+
+
+def test_language_fit_and_scores_against_enumeration(spark):
+    """Two rounds of expectation maximisation, then whole texts, all by listing each segmentation."""
+    pieces = {x: i for i, x in enumerate(["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "abab", "c"], 1)}
+    counts = [("x", "abab", 3), ("x", "ba", 2), ("x", "caz", 1), ("y", "ba", 5), ("y", "cab", 2), ("x", "ab" * 20, 1)]
+    got = langid.fit([c for c in counts if len(c[1]) < 9], {"x": 6, "y": 3}, pieces, rounds=2, smoothing=0.05)
+    p = {lang: {piece: 1 / (len(pieces) + 1) for piece in pieces} for lang in "xy"}
+
+    def cost(lang, cut):
+        return math.prod(p[lang].get(piece, math.exp(langid.OTHER)) for piece in cut)
+
+    for _ in range(2):
+        expected = {lang: dict.fromkeys(pieces, 0.05) for lang in "xy"}
+        for lang, word, n in counts[:-1]:
+            cuts = list(_segmentations("▁" + word, pieces))
+            total = sum(cost(lang, c) for c in cuts)
+            for c in cuts:
+                for piece in c:
+                    if piece in pieces:
+                        expected[lang][piece] += n * cost(lang, c) / total
+        p = {lang: {k: v / sum(e.values()) for k, v in e.items()} for lang, e in expected.items()}
+    for j, lang in enumerate("xy"):
+        assert [got.p[i, j] for i in pieces.values()] == pytest.approx(list(p[lang].values()), rel=1e-9)
+    texts = ["abab ba", "Caz! ba", "cab", "zz ab", "12 !", None]
+    for r in _rows(langid.predict(spark.createDataFrame([(t,) for t in texts], "text string"), got)):
+        words = langid.runs(r["text"] or "")
+        whole = {lang: math.log((n + 1) / 11) + sum(math.log(sum(cost(lang, c) for c in _segmentations("▁" + w, pieces))) for w in words) for lang, n in (("x", 6), ("y", 3))}
+        best = max(whole, key=whole.get)
+        assert r["lang_pred"] == (best if words else "und")
+        assert r["score"] == pytest.approx(1 / sum(math.exp(v - whole[best]) for v in whole.values()) if words else 0, rel=1e-9)
+
+
+def test_language_long_words_are_not_cut():
+    """Long runs give the same sums in logarithms as short ones do, pieces of all lengths take part, and the fit is the same."""
+    pieces = langid.vocabulary()
+    assert max(map(len, pieces)) > 12
+    rng = np.random.default_rng(5)
+    p = rng.random((len(pieces) + 1, 2)) ** 3
+    p[0] = 0
+    ids = langid.lattice(["▁internationalization"], pieces, 16)
+    assert np.allclose(langid.log_forward(ids[0], langid._log_table(p)), np.log(langid.forward(ids, p)[:, 0]))
+    assert np.allclose(langid.log_backward(ids[0], langid._log_table(p)), np.log(langid.backward(ids, p)[:, 0]))
+    short, long = np.zeros_like(p), np.zeros_like(p)
+    langid._expect(ids, np.array([[2.0, 1.0]]), p, short)
+    langid._expect_long(ids[0], np.array([2.0, 1.0]), langid._log_table(p), long)
+    assert np.allclose(short, long)
+    m = langid.LanguageModel(["a", "b"], pieces, p / p.sum(0), np.zeros(2))
+    one, many = m.word_scores(["straßenbahn" * 100])[0], m.word_scores(["straßenbahn" * 2000])[0]
+    assert np.isfinite(many).all() and many[-1] == 22_000 and np.allclose(many[:2] / 20, one[:2], rtol=0.02)
+
+
+def test_language_marks_what_was_not_learnt(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs)
+    rng = random.Random(2)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(4, 10))) for _ in range(n)) for n in (1, 2, 5, 50, 500)]
+    junk += ["это русский текст о разных вещах", "zażółć gęślą jaźń oraz jeszcze kilka innych słów"]
+    assert not any(r["usual"] for r in _rows(langid.predict(spark.createDataFrame([(t,) for t in junk], "text string"), model)))
+    clean = _rows(langid.predict(docs.filter("text is not null"), model))
+    assert np.mean([r["usual"] for r in clean if r["lang_pred"] != "und"]) == 1
+    short = [" ".join((r["text"] or "").split()[:2]) for r in clean if r["source"] is not None][:300]
+    found = _rows(langid.predict(spark.createDataFrame([(t,) for t in short], "text string"), model))
+    assert np.mean([r["usual"] for r in found if r["lang_pred"] != "und"]) > 0.98
+
+
 def test_language_odd_tables(spark, odd):
     model = langid.train(odd)
     out = _rows(langid.predict(odd, model))
@@ -461,14 +560,35 @@ def test_packing_odd_tables(odd):
     end = [r for r in out if r["doc_id"] in (2, 3)]
     assert [(r["doc_tokens"], r["ids"]) for r in end] == [(1, [0]), (1, [0])]
     assert all(r["length"] == len(r["ids"]) and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in out)
-    whole = _rows(packing.pack(odd.coalesce(1), window=64, split_last=False))
+    whole = _rows(packing.pack(odd.coalesce(1), window=64, split_open=False))
     sizes = Counter()
     for r in whole:
         sizes[r["sequence_id"]] += r["length"]
-    assert sum(n < 64 for n in sizes.values()) <= 1
+    short = sorted(n for n in sizes.values() if n < 64)
+    assert len(short) < 2 or short[0] + short[1] > 64  # no two of the windows left open fit together
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_packing_windows_are_the_level_arrays(spark, sf_dir, parts):
+    """Every remainder lies whole in one window, but for the cuts at powers of two; nothing is padded."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(parts, "doc_id")
+    kept = _rows(packing.pack(docs, split_open=False, with_ids=False))
+    remainder = [r for r in kept if r["doc_tokens"] - r["start"] < 1024]
+    assert all(r["start"] % 1024 == 0 and r["start"] + r["length"] == r["doc_tokens"] for r in remainder)
+    chosen = {(r["doc_id"], r["start"]): r["sequence_id"] >> 36 for r in remainder}
+    cut, sizes, task = _rows(packing.pack(docs, with_ids=False)), Counter(), {}
+    for r in cut:
+        sizes[r["sequence_id"]] += r["length"]
+        task.setdefault((r["doc_id"], r["start"] // 1024 * 1024), set()).add(r["sequence_id"] >> 36)
+    assert all(n & (n - 1) == 0 for n in sizes.values())
+    assert all(task[k] == {t} for k, t in chosen.items())
+    tokens = sum(r["length"] for r in cut)
+    short = sum(n for n in sizes.values() if n < 64)
+    print(f"{parts} tasks: {tokens} tokens, {short / tokens:.4f} of them in sequences under 64, {len(sizes)} sequences")
+    assert short < 0.05 * tokens
+
+
 # 7 token counts
 
 
@@ -554,6 +674,17 @@ def test_bpe_caches_keep_results(docs):
     assert [small.rendered([t])[0] for t in texts] == whole.rendered(texts)
 
 
+def test_bpe_long_words_equal_library():
+    """Exact merging of words whose proposals fail takes n log n steps: a million random letters take seconds."""
+    own, lib, rng = bpe.SpeculativeBPE(tokenizer_path("word_bpe_49k.json")), _library(), random.Random(8)
+    for n in (2, 63, 4096, 1_000_000):
+        word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+        assert own.encode(word) == lib.encode(word, add_special_tokens=False).ids
+    for _ in range(2000):
+        word = "".join(rng.choices("abé", k=rng.randrange(1, 40)))
+        assert own.merge(own.symbols(word)) == [t for w in own.words(word) for t in lib.encode(w, add_special_tokens=False).ids]
+
+
 def test_bpe_query_and_odd_tables(spark, sf_dir, docs, odd):
     lib = _library()
     for r in queries.op8_bpe(spark, sf_dir).collect():
