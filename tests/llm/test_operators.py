@@ -413,22 +413,6 @@ def test_simhash_join_is_exact(spark, radius, cell_rows):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want))
 
 
-def _wide_brute(texts, words, width, radius):
-    fps = simhash.fingerprint_array([t.encode() for t in texts], words, width).view(np.uint64)
-    up = list(range(len(fps)))
-
-    def find(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for i in range(len(fps)):
-        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]).sum(1) <= radius):
-            a, b = find(i), find(int(j))
-            up[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(fps))]
-
-
 def _edited(rng, words, share):
     """Words of which so many of the five-word shingles are changed."""
     out = list(words)
@@ -451,9 +435,6 @@ def test_near_copies_are_found_and_others_stay(spark, cell_rows):
     rows = [(i, t) for i, t in enumerate(texts + far)]
     kept = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cell_rows=cell_rows).collect()}
     assert kept == {*range(60), *range(120, 130)}
-    radius = simhash.wide_radius(0.8, 8)
-    first = _wide_brute(texts + far, 5, 8, radius)
-    assert {i for i in range(130) if first[i] == i} == kept
 
 
 @pytest.mark.parametrize("cell_rows", [7, 4096])
@@ -475,12 +456,68 @@ def test_near_copies_equal_all_pairs_by_jaccard(spark, cell_rows):
     assert {r["doc_id"] for r in simhash.keep_first(df, cell_rows=cell_rows).collect()} == set(first)
 
 
-def test_wide_words_are_independent():
-    fp = simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3, 8)
-    assert (fp[:, 0] == simhash.fingerprint_array([f"a{i} b c d e f{i}".encode() for i in range(400)], 3)[:, 0]).all()
-    bits = np.unpackbits(fp.view(np.uint8), axis=1).astype(float)
-    correlation = np.nan_to_num(np.corrcoef(bits[:, bits.std(0) > 0].T))
-    assert np.abs(correlation - np.diag(np.diag(correlation))).max() < 0.5
+def _bands_of_similarity(rng, count):
+    """Pairs of sets of hashes of 4 to 400 shingles with a Jaccard similarity in each hundredth from 0.70 to 0.99."""
+    for _ in range(count):
+        both = int(rng.integers(4, 400))
+        total = round(both / rng.uniform(0.7, 1))
+        x = rng.integers(0, 1 << 63, total).astype(np.uint64)
+        only = int(rng.integers(0, total - both + 1))
+        yield both / total, np.sort(x[: both + only]), np.sort(np.concatenate([x[:both], x[both + only :]]))
+
+
+@pytest.mark.parametrize("rows", [200, 200_000])
+def test_candidates_of_near_copies_by_similarity(rows):
+    """The share of pairs that meet in a grid and pass the sieve, in bands of their true Jaccard similarity."""
+    rng = np.random.default_rng(12)
+    segments, radius, found = simhash.wide_grids(0.8, rows), simhash.sieve_radius(0.8), defaultdict(list)
+    for similarity, x, y in _bands_of_similarity(rng, 4000):
+        hit = False
+        for small in (True, False):
+            if all(0 < len(z) <= simhash.SMALL if small else len(z) >= simhash.LARGE for z in (x, y)):
+                prints = np.stack([simhash.wide_print(z, small) for z in (x, y)])
+                digits = simhash.counts_of(prints)[:, segments]
+                meet = (digits[0] == digits[1]).all(1).any()
+                hit |= bool(meet and np.bitwise_count(prints[0, simhash.GRID_WORDS :] ^ prints[1, simhash.GRID_WORDS :]).sum() <= radius)
+        found[int(similarity * 20 + 1e-9) / 20].append(hit)
+    recall = {band: round(float(np.mean(v)), 3) for band, v in sorted(found.items())}
+    print(rows, len(segments), segments.shape[1], recall)
+    assert recall[0.8] >= 0.97 and all(recall[b] >= 0.99 for b in (0.85, 0.9, 0.95))
+
+
+@pytest.mark.parametrize("side", [False, True])
+def test_similar_sets_against_all_pairs(side):
+    rng = np.random.default_rng(6)
+    pool = [s for _, x, y in _bands_of_similarity(rng, 60) for s in (x, y)]
+    base = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    pool += [np.unique(rng.choice(base, 52)) for _ in range(80)] + [np.zeros(0, np.uint64)] * 2
+    sides = rng.integers(0, 2, len(pool)).tolist() if side else None
+    want = []
+    for i, x in enumerate(pool):
+        for j, y in enumerate(pool[:i]):
+            both = len(np.intersect1d(x, y))
+            if len(x) and 5 * both >= 4 * (len(x) + len(y) - both) and (not side or sides[i] != sides[j]):
+                want.append((i, j))
+    got = simhash.similar(pool, 0.8, sides)
+    assert {tuple(sorted(e)) for e in got} <= {tuple(sorted(e)) for e in want}
+
+    def classes(edges):
+        label = list(range(len(pool)))
+        for i, j in edges:
+            a, b = sorted((label[i], label[j]))
+            label = [a if v == b else v for v in label]
+        return label
+
+    assert classes(got) == classes(want)
+
+
+def test_grids_follow_the_count():
+    chosen = [simhash.chosen_blocks(4, n) for n in (100, 10**5, 10**7, 10**9, 10**12)]
+    assert chosen == sorted(chosen) and chosen[0] == 1 and len(set(chosen)) > 3
+    for n, c in zip((100, 10**5, 10**7, 10**9), chosen, strict=False):
+        assert n * simhash.AGREE ** (32 * c / (4 + c)) <= simhash.NEIGHBOURS
+    for n in (10**4, 10**6, 10**8):
+        assert n * simhash.AGREE ** simhash.wide_grids(0.8, n).shape[1] <= simhash.CROWD
 
 
 def test_embedding_bounds_the_distance():
