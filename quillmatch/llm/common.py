@@ -78,6 +78,19 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, columns: list[str]) -> DataFrame:
+    """rows with those columns of facts, which has each key of rows once and in ``weight`` how many rows have it.
+
+    Facts of keys with over 100 and over a thousandth of all rows, fewer than a thousand by this bound, are broadcast, so no task gets
+    all rows of a hot key; all others meet their rows in a shuffle."""
+    least = max(100, (facts.agg(F.sum(weight)).first()[0] or 0) // 1000)
+    hot = facts.filter(F.col(weight) > least).select(*keys, F.struct(*columns).alias("__hot"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    warm = marked.filter("__hot is null").drop("__hot").join(facts.filter(F.col(weight) <= least).select(*keys, *columns), keys)
+    own = [F.col(c) for c in rows.columns]
+    return marked.filter("__hot is not null").select(*own, "__hot.*").unionByName(warm.select(*own, *columns))
+
+
 #: Kernels get slices of Arrow batches of about so many bytes, so that what they hold beside the batch stays small.
 SLICE_BYTES = 4_000_000
 

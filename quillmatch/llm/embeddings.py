@@ -2,8 +2,12 @@
 
 Two vectors of one label are linked if their cosine, in double precision, is at
 least the threshold.  Equal vectors of a label are one node that counts its
-copies.  Spherical k-means on a bounded sample gives ``cells`` centroids; every
-node is at home in the cell of its nearest centroid.  So that no link across a
+copies.  Spherical k-means on a sample of at most ``sample`` nodes gives the
+centroids; every node is at home in the cell of its nearest centroid.  How many
+there are follows from the number of nodes and the sample: of the numbers in
+``CELLS`` with CELL_ROWS nodes to a cell, the one with the least work, that is
+rows sent to cells and products within them, so that clustered vectors take work
+in proportion to their number.  So that no link across a
 border is lost, a node also visits each later cell that a neighbour of it can
 be at home in.  With t the threshold's angle, a neighbour y of x that is at
 home in cell d rather than in x's own cell c fulfils both
@@ -11,19 +15,22 @@ home in cell d rather than in x's own cell c fulfils both
     <x, c - d> <= |c - d| sin t          (y is on d's side of the bisector)
     angle(x, d) <= t + the largest angle of a vector at home in d
 
-so other cells are passed over.  In tight clusters few nodes visit; where
-vectors lie in all directions, as at random, most nodes visit most cells and
-the work is that of all pairs of a label, done as matrix products.
+so other cells are passed over.  In tight clusters few nodes visit.  Where
+vectors lie in all directions, as at random, nodes would visit most cells; one
+cell is chosen then, and the work is that of all pairs of a label, done as
+matrix products of large blocks.
 
-Within a cell blocks of at most ``block`` rows are compared, each pair of
-blocks in a task of its own, so no group grows a task.  A pair of blocks yields
+Within a cell blocks of about ``block`` rows (fewer where vectors are long) are
+compared, each pair of blocks in a task of its own, so no group grows a task.  A pair of blocks yields
 the number of links of each node and a spanning forest of the links, never the
 links themselves.
 
 Nothing links to vectors whose label is null, that are null, empty or zero, or
 that have a null or non-finite component, nor do vectors of different length.
 Rows with a null id take part and have no id to offer; ``kept`` is false for
-them.  Repeated rows are copies of each other.
+them.  Repeated rows are copies of each other.  A cosine just at the threshold,
+as the exact sum of the products gives it, links.  Only the id, the vector and
+the label are read, so other columns can't clash.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,12 +43,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, sample_by_hash
+from .common import Scratch, join_hot, sample_by_hash
 from .components import components, spanning_edges
 
-CELLS = 16
-SAMPLE = 2_000
-BLOCK = 2_048
+CELLS = (1, 4, 16, 64, 256, 1024)
+CELL_ROWS = 256
+SAMPLE = 16_384
+BLOCK = 4_096
+#: A block of longer vectors has fewer rows, so that it holds no more values than this.
+BLOCK_VALUES = 1 << 20
+#: Seconds that a row costs on its way to a cell, and a product of two values, for choosing the number of cells.
+ROW_COST, VALUE_COST = 2e-5, 3e-10
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -65,6 +77,35 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return c
 
 
+def choose_centroids(x: np.ndarray, rows: int, pairs: int, threshold: float) -> np.ndarray:
+    """Centroids for a table of so many nodes and pairs of one label, of which the unit vectors x are a sample."""
+    best, least = np.zeros((0, 0)), math.inf
+    angle = math.acos(threshold) + 1e-9
+    for k in CELLS:
+        if k > 1 and (k * CELL_ROWS > rows or 8 * k > len(x)):
+            break
+        c = spherical_kmeans(x, k)
+        home, own_angle = _home(x, c)
+        radius = np.zeros(len(c))
+        np.maximum.at(radius, home, own_angle)
+        goes = _visits(x, c, home, radius, angle)
+        share, visiting = np.bincount(home, minlength=len(c)) / len(x), goes.mean(0)
+        compared = pairs * float((share * (share / 2 + visiting)).sum())
+        cost = rows * (1 + visiting.sum()) * ROW_COST + (compared + rows * k) * x.shape[1] * VALUE_COST
+        if cost < least:
+            best, least = c, cost
+    return best
+
+
+def _visits(x: np.ndarray, centroids: np.ndarray, home: np.ndarray, radius: np.ndarray, angle: float) -> np.ndarray:
+    """[row, cell]: a later cell than the row's own that a neighbour within the angle may be at home in."""
+    gap = np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
+    s = x @ centroids.T
+    own = s[np.arange(len(x)), home][:, None]
+    goes = (own - s <= gap[home] * math.sin(min(angle, math.pi / 2)) + 1e-7) & (np.arccos(np.clip(s, -1, 1)) <= angle + radius[None] + 1e-7)
+    return goes & (np.arange(len(centroids))[None] > home[:, None])
+
+
 def _arrays(column: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix of doubles."""
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -99,7 +140,6 @@ def _radii(centroids: np.ndarray):
 def _deal(centroids: np.ndarray, radius: np.ndarray, threshold: float):
     """(nid, copies, label, vector) -> a row for the home cell and for each later cell that a neighbour may be at home in."""
     angle = math.acos(threshold) + 1e-9
-    gap = np.sqrt(((centroids[:, None] - centroids[None]) ** 2).sum(2)) if centroids.size else np.zeros((1, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,10 +148,7 @@ def _deal(centroids: np.ndarray, radius: np.ndarray, threshold: float):
                 home, _ = _home(x, centroids)
                 goes = np.zeros((len(x), max(1, len(centroids))), bool)
                 if centroids.size and x.shape[1] == centroids.shape[1]:
-                    s = x @ centroids.T
-                    own = s[np.arange(len(x)), home][:, None]
-                    goes = (own - s <= gap[home] * math.sin(min(angle, math.pi / 2)) + 1e-9) & (np.arccos(np.clip(s, -1, 1)) <= angle + radius[None] + 1e-9)
-                    goes &= np.arange(len(centroids))[None] > home[:, None]
+                    goes = _visits(x, centroids, home, radius, angle)
                 who, cell = np.nonzero(goes)
                 take = np.concatenate([np.arange(len(x)), who])
                 cell = np.concatenate([home, cell])
@@ -186,9 +223,11 @@ def _compare(threshold: float):
 
 def near_duplicates(
     rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93,
-    cells: int = CELLS, sample: int = SAMPLE, block: int = BLOCK,
+    cells: int | None = None, sample: int = SAMPLE, block: int = BLOCK,
 ) -> DataFrame:
-    """One row per row: id_col, n_links (other rows linked directly), component_id (smallest id reachable, itself included), kept."""
+    """One row per row: id_col, n_links (other rows linked directly), component_id (smallest id reachable, itself included), kept.
+
+    cells: the number of centroids, where it is not to be chosen from the table."""
     scratch = Scratch(rows.sparkSession, "embeddings")
     base = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label"))
     inf = float("inf")
@@ -197,11 +236,15 @@ def near_duplicates(
     nodes = base.filter("ok").groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     nodes = scratch.save(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
 
-    picked = sample_by_hash(nodes.select("vector", "nid"), "nid", sample).collect()
-    sizes = [len(r["vector"]) for r in picked]
-    usual = max(set(sizes), key=sizes.count, default=0)
-    points = np.array([r["vector"] for r in picked if len(r["vector"]) == usual], np.float64)
-    centroids = spherical_kmeans(unit(points), cells) if len(points) else np.zeros((0, 0))
+    sizes_by_label = nodes.groupBy("label").count()
+    total, pairs = sizes_by_label.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.sum(F.col("count").cast("double") * F.col("count")), F.lit(0.0))).first()
+    picked = sample_by_hash(nodes.select("vector", "nid"), "nid", min(sample, max(2_000, total // 32))).select("vector").toArrow().column(0).combine_chunks()
+    sized = _by_size(picked) if len(picked) else []
+    points = max((x for _, x in sized), key=len, default=np.zeros((0, 0)))
+    centroids = np.zeros((0, 0))
+    if len(points):
+        centroids = choose_centroids(unit(points), total, pairs, threshold) if cells is None else spherical_kmeans(unit(points), cells)
+        block = min(block, max(256, BLOCK_VALUES // points.shape[1]))
     radius = np.zeros(max(1, len(centroids)))
     for r in nodes.select("vector").mapInArrow(_radii(centroids), "cell long, radius double").groupBy("cell").agg(F.max("radius")).collect():
         radius[r[0]] = r[1]
@@ -237,7 +280,7 @@ def near_duplicates(
     named = nodes.select("nid", "label", "vector", "first", "copies").join(links, "nid", "left").join(root, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     named = scratch.save(named.drop("nid"), "named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = scratch.save(named.join(smallest, "root").select("label", "vector", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "answers")
-    answered = base.filter("ok").join(named, ["label", "vector"]).select("id", "n_links", "component_id")
+    named = scratch.save(named.join(smallest, "root").select("label", "vector", "copies", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "answers")
+    answered = join_hot(base.filter("ok").drop("ok"), named, ["label", "vector"], "copies", ["n_links", "component_id"]).select("id", "n_links", "component_id")
     rest = base.filter("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return answered.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, append_columns, as_bytes, slices, texts, without
+from .common import Scratch, append_columns, as_bytes, join_hot, texts, without
 from .components import components, spanning_edges
 
 NEIGHBOURS = 16
@@ -521,12 +521,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(docs.sparkSession, "simhash")
     columns = docs.columns if keep is None else keep
     base = scratch.save(fingerprints(docs, text_col, words, columns if id_col in columns else [*columns, id_col]), "fingerprints")
-    nodes = scratch.save(base.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes")
+    nodes = scratch.save(base.groupBy("fp").agg(F.min(id_col).alias("first"), F.count("*").alias("copies")), "nodes")
     linked_to = link_components(nodes.select("fp"), scratch, radius, cell_rows)
     rooted = nodes.join(linked_to.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = scratch.save(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    out = base.drop("component_id").join(named, "fp", "left")
+    named = scratch.save(rooted.join(smallest, "root").select("fp", "component_id", "copies"), "named")
+    out = join_hot(base.drop("component_id"), named, ["fp"], "copies", ["component_id"])
     return out.select(*without(base.select(*columns) if columns else base, ["fp", "component_id"]), "fp", "component_id")
 
 
