@@ -816,7 +816,7 @@ def _embedding_rows():
     return rows + [(700, None, 1), (701, [], 1), (702, [0.0] * 8, 1), (703, [float("nan")] * 8, 1), (704, [1.0, 2.0], 1), (705, [1.0, 2.0], 1), (706, [None] * 8, 0), (707, [float("inf")] * 8, 0), (None, rows[7][1], rows[7][2])]
 
 
-@pytest.mark.parametrize("block,cells", [(2048, 16), (40, 5), (7, 3)])
+@pytest.mark.parametrize("block,cells", [(4096, None), (2048, 16), (40, 5), (7, 3)])
 def test_embeddings_against_brute_force(spark, block, cells):
     rows = _embedding_rows()
     good = [r for r in rows if r[1] and r[2] is not None and all(x is not None and math.isfinite(x) for x in r[1]) and any(r[1])]
@@ -849,6 +849,23 @@ def test_embeddings_sql_and_empty(spark, compare):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_cells_follow_the_table():
+    """More cells where clustered vectors grow, so that the products of each row stay about as many; one where nothing can be passed over."""
+    rng = np.random.default_rng(8)
+    work = []
+    for n in (10_000, 100_000):
+        centres = rng.normal(size=(n // 100, 32))
+        x = embeddings.unit(centres[rng.integers(0, len(centres), max(2000, n // 32))] + rng.normal(size=(max(2000, n // 32), 32)) * 0.05)
+        c = embeddings.choose_centroids(x, n, n * n, 0.93)
+        home, angle = embeddings._home(x, c)
+        radius = np.array([angle[home == j].max(initial=0) for j in range(len(c))])
+        goes = embeddings._visits(x, c, home, radius, math.acos(0.93))
+        share = np.bincount(home, minlength=len(c)) / len(x)
+        work.append((len(c), n * float((share * (share / 2 + goes.mean(0))).sum()), float(goes.sum(1).mean())))
+    assert work[0][0] >= 16 and work[1][0] >= 64 and work[1][1] < 4 * work[0][1] and max(w[2] for w in work) < 8, work
+    assert len(embeddings.choose_centroids(embeddings.unit(rng.normal(size=(4000, 64))), 100_000, 10**10, 0.93)) == 1
+
+
 def test_cells_pass_over_only_what_cannot_link():
     rng = np.random.default_rng(5)
     centres = embeddings.unit(rng.normal(size=(6, 16)))
