@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, fields
 
-# Terms of business names that identify nothing, used on the query side only.
+# Terms of business names that identify nothing, used on the query side only.  Their order has no meaning.
 STOPWORDS = (
     "a", "ag", "an", "and", "associate", "associates", "at", "bar", "bv", "by", "cafe", "co", "company", "consulting", "corp",
     "corporation", "enterprise", "enterprises", "for", "general", "global", "gmbh", "group", "holding", "holdings", "hotel", "hotels",

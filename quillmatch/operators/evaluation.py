@@ -147,6 +147,18 @@ def error_examples(found: DataFrame, most: int = 10) -> DataFrame:
     return found.withColumn("place", place).filter(F.col("place") <= most)
 
 
+def error_summary(found: DataFrame, total_s1: int, most: int = 3) -> str:
+    """The number of errors of each category and the first examples."""
+    number = {r["category"]: r["errors"] for r in error_counts(found).collect()}
+    first: dict[str, list[str]] = {}
+    for r in error_examples(found, most).orderBy("category", "place").collect():
+        first.setdefault(r["category"], []).append(f"{r['s1']} ({r['detail']})")
+    lines = [f"S1 records: {total_s1}"]
+    for c in CATEGORIES:
+        lines.append(f"{c.replace('_', ' ')}: {number.get(c, 0)}" + (f", such as {'; '.join(first[c])}" if c in first else ""))
+    return "\n".join(lines)
+
+
 def coverage(queries: DataFrame, output: DataFrame, countries: DataFrame, label: str = "france") -> DataFrame:
     """How far output(s1) covers queries(s1), and those of one country label; countries(s1, country).  Up to ten ids are named."""
     q, o = queries.select("s1").distinct().withColumn("q", F.lit(True)), output.select("s1").distinct().withColumn("o", F.lit(True))

@@ -6,7 +6,6 @@ import json
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import __version__
 from ..config import RetrievalConfig
 from ..functions import ids, text
-from ..sources.tsv import fingerprint
+from ..sources.files import Files
 from .retrieval import Index, build
 
 VERSION = "1"
@@ -34,9 +33,8 @@ class Manifest:
     made_at: str = field(default_factory=lambda: time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()))
 
     @classmethod
-    def read(cls, path: str) -> Manifest:
-        with open(path, encoding="utf-8") as f:
-            values = json.load(f)
+    def read(cls, spark: SparkSession, path: str) -> Manifest:
+        values = json.loads(Files(spark).read(path))
         known = cls.__dataclass_fields__
         return cls(**{k: v for k, v in values.items() if k in known})
 
@@ -69,31 +67,25 @@ def write(records: DataFrame, folder: str, paths: dict[str, str], config: Retrie
     for name in Index.TABLES[1:]:
         getattr(index, name).write.parquet(f"{where}/{name}")
     rows = {name: spark.read.parquet(f"{where}/{name}").count() for name in Index.TABLES}
-    known = {k: {"path": p, "size": _size(p), "sha256": fingerprint(p)} for k, p in paths.items()}
+    files = Files(spark)
+    known = {k: {"path": p, "size": files.size(p), "sha256": files.fingerprint(p)} for k, p in paths.items()}
     manifest = Manifest(where, known, split, config.to_dict(), index.size(), rows)
-    target = Path(folder) / "manifest.json"
-    part = target.with_suffix(".part")
-    part.write_text(json.dumps(asdict(manifest), indent=1, sort_keys=True), encoding="utf-8")
-    part.replace(target)
+    files.write(f"{folder.rstrip('/')}/manifest.json", json.dumps(asdict(manifest), indent=1, sort_keys=True).encode())
     return manifest
 
 
-def _size(path: str) -> int:
-    p = Path(path)
-    return p.stat().st_size if p.is_file() else sum(f.stat().st_size for f in p.rglob("*") if f.is_file())
-
-
 def open_index(spark: SparkSession, manifest: Manifest | str, split: str | None = None) -> Index:
     """The index, if its versions, split, sources and tables are what the manifest says; else ValueError or FileNotFoundError."""
-    m = Manifest.read(manifest) if isinstance(manifest, str) else manifest
+    m = Manifest.read(spark, manifest) if isinstance(manifest, str) else manifest
     if m.index_version != VERSION or m.normalization_version != text.VERSION:
         raise ValueError("the index is of another version")
     if split is not None and split != m.split:
         raise ValueError(f"the index is of split {m.split}, not {split}")
+    files = Files(spark)
     for name, s in m.sources.items():
-        if not Path(s["path"]).exists():
+        if not files.exists(s["path"]):
             raise FileNotFoundError(s["path"])
-        if _size(s["path"]) != s["size"] or fingerprint(s["path"]) != s["sha256"]:
+        if files.size(s["path"]) != s["size"] or files.fingerprint(s["path"]) != s["sha256"]:
             raise ValueError(f"{name} changed after the index was built")
     tables = {name: spark.read.parquet(f"{m.folder}/{name}") for name in Index.TABLES}
     for name, df in tables.items():

@@ -3,21 +3,19 @@
 from __future__ import annotations
 
 import json
-import shutil
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
 import pyspark
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DecisionConfig, SamplingConfig, TrainConfig
 from ..functions import features, ids, text
-from ..sources.tsv import fingerprint
+from ..sources.files import Files
 from .store import VERSION as INDEX_VERSION
 
 
@@ -67,8 +65,7 @@ class ModelManifest:
 
 def featurize(pairs: DataFrame) -> DataFrame:
     """pairs with records (retrieval.with_records) -> all features in the order of features.NAMES."""
-    full = features.char_ratios(features.char_ratios(features.native(pairs), "q_name_norm", "c_name_norm", "name_char_ratio"), "q_address_norm", "c_address_norm", "address_char_ratio")
-    return full
+    return features.char_ratios(features.native(pairs))
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -97,12 +94,10 @@ def train(rows: DataFrame, folder: str, config: TrainConfig = TrainConfig(), val
         subsamplingRate=1.0, featureSubsetStrategy="all", seed=config.seed,
     )
     model = learner.fit(_assembled(rows.orderBy("s1", "cand")))
-    where = Path(folder) / "model"
-    if where.exists():
-        shutil.rmtree(where)
-    model.write().overwrite().save(str(where))
-    manifest = ModelManifest(str(where), fingerprint(str(where)), list(features.NAMES), config.to_dict(), {"pairs": total, "positives": int(positive)}, candidate_config or {})
-    (Path(folder) / "model.json").write_text(json.dumps(asdict(manifest), indent=1, sort_keys=True), encoding="utf-8")
+    files, where = Files(rows.sparkSession), f"{folder.rstrip('/')}/model"
+    model.write().overwrite().save(where)
+    manifest = ModelManifest(where, files.fingerprint(where), list(features.NAMES), config.to_dict(), {"pairs": total, "positives": int(positive)}, candidate_config or {})
+    files.write(f"{folder.rstrip('/')}/model.json", json.dumps(asdict(manifest), indent=1, sort_keys=True).encode())
     return manifest
 
 
@@ -112,20 +107,21 @@ class LoadedModel:
     manifest: ModelManifest
 
 
-def load(path: str) -> LoadedModel:
-    """The model of a manifest, if nothing about it differs; else ValueError."""
-    values = json.loads(Path(path).read_text(encoding="utf-8"))
+def load(spark: SparkSession, path: str) -> LoadedModel:
+    """The model of a manifest (a Hadoop path), if nothing about it differs; else ValueError."""
+    files = Files(spark)
+    values = json.loads(files.read(path))
     manifest = ModelManifest(**{k: v for k, v in values.items() if k in ModelManifest.__dataclass_fields__})
-    home, where = Path(path).resolve().parent, Path(manifest.folder).resolve()
-    if home not in where.parents:
+    home, where = files.qualified(path).rpartition("/")[0], files.qualified(manifest.folder)
+    if not where.startswith(f"{home}/") or ".." in where.split("/"):
         raise ValueError("the model lies outside of its manifest's folder")
     if manifest.feature_version != features.VERSION or manifest.feature_names != list(features.NAMES):
         raise ValueError("the model reads other features")
     if manifest.model_type != "GBTClassificationModel" or manifest.library_version != pyspark.__version__:
         raise ValueError("the model is of another type or library version")
-    if fingerprint(str(where)) != manifest.sha256:
+    if files.fingerprint(where) != manifest.sha256:
         raise ValueError("the model's files changed")
-    return LoadedModel(GBTClassificationModel.load(str(where)), manifest)
+    return LoadedModel(GBTClassificationModel.load(where), manifest)
 
 
 def score(rows: DataFrame, loaded: LoadedModel, normalization_version: str = text.VERSION, index_version: str = INDEX_VERSION, candidate_config: dict | None = None) -> DataFrame:
@@ -164,3 +160,26 @@ def threshold_sweep(queries: DataFrame, scored: DataFrame, links: DataFrame, thr
     means = counts.agg(*[F.avg(f_half(F.col("t"), F.col(f"p{i}"), F.col(f"c{i}"))).alias(f"m{i}") for i in range(len(thresholds))])
     rows = F.inline(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"m{i}").alias("macro_f_half")) for i, t in enumerate(thresholds)]))
     return means.select(rows)
+
+
+def threshold_sweep_by_source(queries: DataFrame, scored: DataFrame, links: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Macro F0.5 (source2_threshold, source3_threshold, macro_f_half) at each pair of thresholds for S2 and S3 candidates.
+
+    A query's counts at all thresholds come from one pass over its pairs, for each source apart; each pair of thresholds adds two.
+    """
+    from ..functions.scores import f_half
+
+    truth = links.select("s1", "cand").distinct()
+    marked = scored.select("s1", "cand", "score").join(truth.withColumn("hit", F.lit(1)), ["s1", "cand"], "left")
+    columns = []
+    for k in (2, 3):
+        own = F.col("cand").startswith(f"S{k}-")
+        for i, t in enumerate(thresholds):
+            above = own & (F.col("score") >= t)
+            columns += [F.count_if(above).alias(f"p{k}_{i}"), F.count_if(above & F.col("hit").isNotNull()).alias(f"c{k}_{i}")]
+    counts = queries.select(F.col("entity_id").alias("s1")).join(truth.groupBy("s1").agg(F.count("*").alias("t")), "s1", "left").join(marked.groupBy("s1").agg(*columns), "s1", "left").na.fill(0)
+    grid = [(i, j) for i in range(len(thresholds)) for j in range(len(thresholds))]
+    both = lambda c, i, j: F.col(f"{c}2_{i}") + F.col(f"{c}3_{j}")
+    means = counts.agg(*[F.avg(f_half(F.col("t"), both("p", i, j), both("c", i, j))).alias(f"m{i}_{j}") for i, j in grid])
+    row = lambda i, j: F.struct(F.lit(thresholds[i]).alias("source2_threshold"), F.lit(thresholds[j]).alias("source3_threshold"), F.col(f"m{i}_{j}").alias("macro_f_half"))
+    return means.select(F.inline(F.array(*[row(i, j) for i, j in grid])))

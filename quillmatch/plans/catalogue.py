@@ -1,24 +1,23 @@
 """The registered queries over the driver's tables, and their DuckDB SQL.
 
-A query whose plan has several branches over the documents persists what it
-takes from the whole texts; one with a single branch stays lazy to the end, so
-that only the columns it needs are read.
+A query whose plan has several branches over the documents writes what it takes
+from the whole texts to a scratch table, and one that reads the candidates more
+than once writes them; one with a single branch stays lazy to the end, so that
+only the columns it needs are read.  Nothing is cached in executors.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DecisionConfig, RetrievalConfig, SamplingConfig, TrainConfig
 from ..functions import features, ids, text
 from ..operators import audit, benchmark, evaluation, output, retrieval, training
-from ..sources import documents, generate
+from ..sources import documents, generate, tsv
+from ..sources.files import Files, Scratch
 from . import oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,14 +29,16 @@ THRESHOLDS = [0.2, 0.4, 0.6, 0.8]
 class Setting:
     """The lazy tables that queries start from."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, branches: bool = True):
-        self.spark, self.sf_dir = spark, sf_dir
-        shared = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if branches else lambda df: df
-        self.ends = shared(documents.ends(spark, sf_dir))
+    def __init__(self, spark: SparkSession, sf_dir: str, branches: bool = True, reused: bool = False):
+        self.spark, self.sf_dir, self.reused = spark, sf_dir, reused
+        self.scratch = Scratch(spark, "queries") if branches or reused else None
+        shared = self.scratch.save if branches else lambda df, name: df
+        self.ends = shared(documents.ends(spark, sf_dir), "ends")
         self.records = documents.records(self.ends)
-        self.normalized = shared(text.normalize(self.records))
+        self.normalized = shared(text.normalize(self.records), "normalized")
         self.queries = self.normalized.filter(F.col("entity_id").startswith("S1-"))
         self.corpus = self.normalized.filter(~F.col("entity_id").startswith("S1-"))
+        self._candidates: DataFrame | None = None
 
     @property
     def index(self) -> retrieval.Index:
@@ -51,8 +52,12 @@ class Setting:
     def spine(self) -> DataFrame:
         return self.queries.select(F.col("entity_id").alias("s1"), "row_ord")
 
-    def candidates(self, config: RetrievalConfig = ALL) -> DataFrame:
-        return retrieval.candidates(self.queries, self.index, config)
+    def candidates(self) -> DataFrame:
+        if self._candidates is None:
+            self._candidates = retrieval.candidates(self.queries, self.index, ALL)
+            if self.reused:
+                self._candidates = self.scratch.save(self._candidates, "candidates")
+        return self._candidates
 
     def lists(self, pairs: DataFrame) -> DataFrame:
         return retrieval.groups(self.queries, pairs)
@@ -89,13 +94,14 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 QUERIES: dict[str, Query] = {}
 ONE_BRANCH = {
     "normalize_records", "country_keys", "tokens", "normalize_texts", "split_assignment", "split_counts", "id_validation", "postings_exact", "postings_name_token",
-    "postings_address_token", "country_entities", "token_doc_freq", "countries", "data_audit", "scale_data",
+    "postings_address_token", "country_entities", "token_doc_freq", "countries", "data_audit", "scale_data", "strict_reader", "lenient_reader",
 }
+REUSED = {"pair_counts", "model_scores", "error_counts", "error_examples", "oracle_check", "validate_findings", "coverage_check", "threshold_sweep_by_source"}
 
 
 def _query(function: Callable[[Setting], DataFrame]) -> Callable[[Setting], DataFrame]:
     name = function.__name__
-    QUERIES[name] = lambda spark, sf_dir: function(Setting(spark, sf_dir, name not in ONE_BRANCH))
+    QUERIES[name] = lambda spark, sf_dir: function(Setting(spark, sf_dir, name not in ONE_BRANCH, name in REUSED))
     return function
 
 
@@ -116,11 +122,12 @@ def tokens(s: Setting) -> DataFrame:
 
 @_query
 def normalize_texts(s: Setting) -> DataFrame:
-    """Whole pages, conversations and benchmark items."""
+    """Whole pages, conversations, benchmark items and documents."""
     read = lambda n: s.spark.read.parquet(f"{s.sf_dir}/{n}.parquet")
     rows = read("pages").select(F.concat(F.lit("p"), "page_id").alias("key"), F.col("html").alias("t"))
     rows = rows.unionByName(read("conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("key"), F.col("text").alias("t")))
     rows = rows.unionByName(read("benchmark").select(F.concat(F.lit("b"), "item_id").alias("key"), F.col("text").alias("t")))
+    rows = rows.unionByName(read("documents").select(F.concat(F.lit("d"), "doc_id").alias("key"), F.col("text").alias("t")))
     return rows.select("key", text.text_key(F.col("t")).alias("norm"))
 
 
@@ -255,13 +262,10 @@ def pair_counts(s: Setting) -> DataFrame:
 @_query
 def model_scores(s: Setting) -> DataFrame:
     """A small boosted-tree model, trained, saved, loaded and applied to all candidates."""
-    rows = training.featurize(_pairs(s))
+    rows = s.scratch.save(training.featurize(_pairs(s)), "rows")
     chosen = training.training_pairs(s.candidates(), s.links).select("s1", "cand", "label")
-    base = s.spark.conf.get("spark.checkpoint.dir", None)
-    folder = f"{base.removeprefix('file://')}/model-{id(s)}" if base and base.startswith(("file:", "/")) else tempfile.mkdtemp(prefix="model-")
-    os.makedirs(folder, exist_ok=True)
-    training.train(rows.join(chosen, ["s1", "cand"]), folder, TrainConfig(rounds=5))
-    return training.score(rows, training.load(f"{folder}/model.json")).select("s1", "cand", F.round("score", 6).alias("score"))
+    training.train(rows.join(chosen, ["s1", "cand"]), s.scratch.root, TrainConfig(rounds=5))
+    return training.score(rows, training.load(s.spark, f"{s.scratch.root}/model.json")).select("s1", "cand", F.round("score", 6).alias("score"))
 
 
 @_query
@@ -274,6 +278,11 @@ def threshold_sweep(s: Setting) -> DataFrame:
     return _rounded(training.threshold_sweep(s.queries, s.scored, s.links, THRESHOLDS))
 
 
+@_query
+def threshold_sweep_by_source(s: Setting) -> DataFrame:
+    return _rounded(training.threshold_sweep_by_source(s.queries, s.scored, s.links, THRESHOLDS))
+
+
 def _counted(s: Setting) -> DataFrame:
     return evaluation.counts(s.truth, s.decided)
 
@@ -347,12 +356,42 @@ def candidate_file(s: Setting) -> DataFrame:
 
 @_query
 def validate_findings(s: Setting) -> DataFrame:
-    """Findings about candidate lists as matches, with faults put in: lost rows, repeated and unknown ids."""
-    lists = s.lists(s.candidates()).select("s1", F.array_sort("ids").alias("ids"), "row_ord")
+    """Findings about candidate lists as matches, with faults put in: lost, repeated and unasked rows, repeated and unknown ids."""
+    lists = s.scratch.save(s.lists(s.candidates()).select("s1", F.array_sort("ids").alias("ids"), "row_ord"), "lists")
     bad = F.when(F.col("row_ord") % 5 == 0, F.concat("ids", F.array(F.lit("S2-none")))).when(F.col("row_ord") % 7 == 0, F.concat("ids", F.array(F.lit("X-1"), F.lit("X-1")))).otherwise(F.col("ids"))
     faulty = lists.filter(F.col("row_ord") % 11 != 0).select("s1", bad.alias("ids"))
-    found = output.table_findings(s.spine, faulty, lists.select("s1", "ids"), s.corpus)
-    return found.groupBy("problem_type").agg(F.count("*").alias("findings"), F.min("s1_id").alias("first_s1"))
+    again = lists.filter(F.col("row_ord") % 13 == 1).select("s1", "ids")
+    unasked = lists.filter(F.col("row_ord") % 17 == 2).select(F.concat("s1", F.lit("-x")).alias("s1"), F.array().cast("array<string>").alias("ids"))
+    countries = s.countries.filter(F.col("s1").startswith("S1-"))
+    found = output.table_findings(s.spine, faulty.unionByName(again).unionByName(unasked), lists.select("s1", "ids"), s.corpus, countries, "fr")
+    return found.groupBy("problem_type").agg(F.count("*").alias("findings"), F.min("s1_id").alias("first_s1"), F.min(F.array_join("invalid_ids", ",")).alias("first_ids"))
+
+
+def _link_lines(s: Setting) -> str:
+    """A file with a line for each record: its id, and two ids in untidy forms; every ninth line has a column too many, every tenth none."""
+    i = F.col("entity_id")
+    tidy = F.concat(i, F.lit("\tS2-1,S3-2"))
+    loose = F.concat(F.lit(" "), i, F.lit("\t S2-1 ,S2-1,, "))
+    line = F.when(F.col("row_ord") % 9 == 0, F.concat(tidy, F.lit("\tmore"))).when(F.col("row_ord") % 10 == 0, i).when(F.col("row_ord") % 4 == 0, F.concat(i, F.lit("\t"))).when(F.col("row_ord") % 3 == 0, loose).otherwise(tidy)
+    scratch = Scratch(s.spark, "lines")
+    s.records.select(line.alias("value")).write.text(f"{scratch.root}/parts")
+    files = Files(s.spark)
+    files.concat(files.listed(f"{scratch.root}/parts"), f"{scratch.root}/lines.tsv", b"Source1_Entity_ID\tmatched_entity_ids\n")
+    return f"{scratch.root}/lines.tsv"
+
+
+@_query
+def strict_reader(s: Setting) -> DataFrame:
+    """What the strict reader makes of an untidy file: lists as they stand, and malformed lines with their text."""
+    _, rows, malformed = tsv.read_output_strict(s.spark, _link_lines(s))
+    return _joined(rows.select("s1", "ids"), "ids").unionByName(malformed.select(F.lit("malformed").alias("s1"), F.col("value").alias("ids")))
+
+
+@_query
+def lenient_reader(s: Setting) -> DataFrame:
+    """What the lenient reader makes of the same file: ids trimmed, empty ones and repeats dropped, further columns part of the list."""
+    rows = tsv.read_links_lenient(s.spark, _link_lines(s))
+    return _joined(rows.select(F.col("source1_entity_id").alias("s1"), F.col("matched_entity_ids").alias("ids")), "ids")
 
 
 @_query

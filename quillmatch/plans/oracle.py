@@ -123,18 +123,30 @@ errors AS (
         f"SELECT {t}::DOUBLE AS threshold, round(avg({_score('f_half')}), 6) AS macro_f_half FROM (SELECT t.s1, len(t.ids) AS true_n, count(x.cand) AS pred_n, count(l.cand) AS common FROM truth t LEFT JOIN (SELECT * FROM scored WHERE score >= {t}) x ON t.s1 = x.s1 LEFT JOIN links l ON x.s1 = l.s1 AND x.cand = l.cand GROUP BY t.s1, t.ids)"
         for t in thresholds
     )
+    pair = lambda a, b: f"SELECT {a}::DOUBLE AS source2_threshold, {b}::DOUBLE AS source3_threshold, round(avg({_score('f_half')}), 6) AS macro_f_half FROM (SELECT t.s1, len(t.ids) AS true_n, count(x.cand) AS pred_n, count(l.cand) AS common FROM truth t LEFT JOIN (SELECT * FROM scored WHERE score >= CASE WHEN cand LIKE 'S2-%' THEN {a} ELSE {b} END) x ON t.s1 = x.s1 LEFT JOIN links l ON x.s1 = l.s1 AND x.cand = l.cand GROUP BY t.s1, t.ids)"
     of = lambda a, n: f"len(list_filter({a}, lambda x: x LIKE 'S{n}-%'))"
     rows = f"SELECT len(t.ids) AS t, len(list_intersect(t.ids, l.ids)) AS h, {of('t.ids', 2)} AS t2, {of('t.ids', 3)} AS t3, {of('list_intersect(t.ids, l.ids)', 2)} AS h2, {of('list_intersect(t.ids, l.ids)', 3)} AS h3 FROM truth t JOIN lists l USING (s1)"
     nan = lambda a, b: f"round(CASE WHEN {b} = 0 THEN 'NaN'::DOUBLE ELSE ({a})::DOUBLE / {b} END, 6)"
     oracle = "CASE WHEN t = 0 THEN 1.0 WHEN h = 0 THEN 0.0 ELSE 1.25 * h / (0.25 * t + h) END"
     found = r"""
-faulty AS (SELECT s1, CASE WHEN row_ord % 5 = 0 THEN list_append(list_sort(ids), 'S2-none') WHEN row_ord % 7 = 0 THEN list_concat(list_sort(ids), ['X-1', 'X-1']) ELSE list_sort(ids) END AS ids FROM lists WHERE row_ord % 11 <> 0),
+faulty AS (
+  SELECT s1, CASE WHEN row_ord % 5 = 0 THEN list_append(list_sort(ids), 'S2-none') WHEN row_ord % 7 = 0 THEN list_concat(list_sort(ids), ['X-1', 'X-1']) ELSE list_sort(ids) END AS ids FROM lists WHERE row_ord % 11 <> 0
+  UNION ALL SELECT s1, list_sort(ids) FROM lists WHERE row_ord % 13 = 1
+  UNION ALL SELECT s1 || '-x', []::VARCHAR[] FROM lists WHERE row_ord % 17 = 2
+),
+lost AS (SELECT entity_id AS s1 FROM q WHERE entity_id NOT IN (SELECT s1 FROM faulty)), spare AS (SELECT DISTINCT s1 FROM faulty WHERE s1 NOT IN (SELECT entity_id FROM q)),
+french AS (SELECT DISTINCT entity_id AS s1 FROM q WHERE lower(trim(country)) = 'fr' AND entity_id NOT IN (SELECT s1 FROM faulty)),
+merged AS (SELECT s1, flatten(list(ids)) AS ids FROM faulty GROUP BY s1),
+odd AS (SELECT m.s1, list_sort(list_distinct(list_filter(m.ids, lambda x: NOT list_contains(coalesce(l.ids, []::VARCHAR[]), x)))) AS u FROM merged m LEFT JOIN lists l USING (s1)),
 findings AS (
-  SELECT s1, 'DUPLICATE_IDS' AS problem_type FROM faulty WHERE len(ids) <> len(list_distinct(ids))
-  UNION ALL SELECT s1, 'INVALID_ID_PREFIX' FROM faulty WHERE len(list_filter(ids, lambda x: NOT regexp_matches(x, '^S[23]-.+'))) > 0
-  UNION ALL SELECT DISTINCT s1, 'UNKNOWN_S2S3_IDS' FROM (SELECT s1, unnest(ids) AS id FROM faulty) f WHERE regexp_matches(f.id, '^S[23]-.+') AND f.id NOT IN (SELECT entity_id FROM c)
-  UNION ALL SELECT NULL, 'MISSING_S1_ROWS' FROM (SELECT count(*) AS k FROM q WHERE entity_id NOT IN (SELECT s1 FROM faulty)) WHERE k > 0
-  UNION ALL SELECT f.s1, 'PREDICTION_NOT_SUBSET_OF_CANDIDATES' FROM faulty f JOIN lists l USING (s1) WHERE len(list_filter(f.ids, lambda x: NOT list_contains(l.ids, x))) > 0
+  SELECT s1, 'DUPLICATE_IDS' AS problem_type, array_to_string(list_distinct(list_filter(ids, lambda x: len(list_filter(ids, lambda y: y = x)) > 1)), ',') AS u FROM faulty WHERE len(ids) <> len(list_distinct(ids))
+  UNION ALL SELECT s1, 'INVALID_ID_PREFIX', array_to_string(list_filter(ids, lambda x: NOT regexp_matches(x, '^S[23]-.+'))[1:10], ',') FROM faulty WHERE len(list_filter(ids, lambda x: NOT regexp_matches(x, '^S[23]-.+'))) > 0
+  UNION ALL SELECT s1, 'UNKNOWN_S2S3_IDS', array_to_string(list_sort(list(DISTINCT id))[1:10], ',') FROM (SELECT s1, unnest(ids) AS id FROM faulty) f WHERE regexp_matches(f.id, '^S[23]-.+') AND f.id NOT IN (SELECT entity_id FROM c) GROUP BY s1
+  UNION ALL SELECT s1, 'DUPLICATE_S1_ROW', '' FROM faulty GROUP BY s1 HAVING count(*) > 1
+  UNION ALL SELECT NULL, 'MISSING_S1_ROWS', array_to_string(list_sort(list(s1))[1:10], ',') FROM lost HAVING count(*) > 0
+  UNION ALL SELECT NULL, 'EXTRA_S1_ROWS', array_to_string(list_sort(list(s1))[1:10], ',') FROM spare HAVING count(*) > 0
+  UNION ALL SELECT NULL, 'FR_COVERAGE', array_to_string(list_sort(list(s1))[1:10], ',') FROM french HAVING count(*) > 0
+  UNION ALL SELECT s1, 'PREDICTION_NOT_SUBSET_OF_CANDIDATES', array_to_string(u[1:5], ',') FROM odd WHERE len(u) > 0
 )
 """
     sample = """
@@ -150,7 +162,7 @@ need AS (SELECT DISTINCT cand AS entity_id FROM links WHERE s1 IN (SELECT entity
         "normalize_records": "SELECT entity_id, name_norm, address_norm, country_key FROM norm",
         "country_keys": "SELECT country_key, count(*) AS records FROM norm GROUP BY country_key",
         "tokens": "SELECT entity_id, generate_subscripts(nt, 1) - 1 AS pos, unnest(nt) AS token FROM norm",
-        "normalize_texts": f"SELECT 'p' || page_id AS key, {_key('html')} AS norm FROM pages UNION ALL SELECT 'c' || conv_id || '-' || turn, {_key('text')} FROM conversations UNION ALL SELECT 'b' || item_id, {_key('text')} FROM benchmark",
+        "normalize_texts": f"SELECT 'p' || page_id AS key, {_key('html')} AS norm FROM pages UNION ALL SELECT 'c' || conv_id || '-' || turn, {_key('text')} FROM conversations UNION ALL SELECT 'b' || item_id, {_key('text')} FROM benchmark UNION ALL SELECT 'd' || doc_id, {_key('text')} FROM documents",
         "split_assignment": "SELECT s1 AS entity_id, residue::BIGINT AS residue, residue = 0 AS validation FROM val",
         "split_counts": "SELECT residue = 0 AS validation, count(*) AS records FROM val GROUP BY 1",
         "id_validation": "SELECT regexp_matches(id, '^S[123]-.+') AS valid, regexp_matches(id, '^S[23]-.+') AS candidate, count(*) AS ids FROM (SELECT unnest([entity_id, 'x' || entity_id, substr(entity_id, 1, 3), 'S4-' || entity_id]) AS id FROM rec) GROUP BY ALL",
@@ -175,6 +187,9 @@ need AS (SELECT DISTINCT cand AS entity_id FROM links WHERE s1 IN (SELECT entity
         ),
         "decisions": "SELECT s1, array_to_string(ids, ',') AS matched FROM decided",
         "threshold_sweep": sweep,
+        "threshold_sweep_by_source": " UNION ALL ".join(pair(a, b) for a in thresholds for b in thresholds),
+        "strict_reader": "SELECT CASE WHEN row_ord % 9 = 0 OR row_ord % 10 = 0 THEN 'malformed' ELSE entity_id END AS s1, CASE WHEN row_ord % 9 = 0 THEN entity_id || chr(9) || 'S2-1,S3-2' || chr(9) || 'more' WHEN row_ord % 10 = 0 THEN entity_id WHEN row_ord % 4 = 0 THEN '' WHEN row_ord % 3 = 0 THEN 'S2-1,S2-1,,' ELSE 'S2-1,S3-2' END AS ids FROM rec",
+        "lenient_reader": "SELECT entity_id AS s1, CASE WHEN row_ord % 9 = 0 THEN 'S2-1,S3-2' || chr(9) || 'more' WHEN row_ord % 10 = 0 THEN '' WHEN row_ord % 4 = 0 THEN '' WHEN row_ord % 3 = 0 THEN 'S2-1' ELSE 'S2-1,S3-2' END AS ids FROM rec",
         "eval_per_entity": f"SELECT s1, round({_score('f_half')}, 6) AS f_half, round({_score('precision')}, 6) AS precision, round({_score('recall')}, 6) AS recall FROM counted",
         "eval_macro": f"SELECT {measures}, count(*) AS total_s1, {k('true_n = 0')} AS true_empty, {k('pred_n = 0')} AS pred_empty, sum(pred_n - common)::BIGINT AS false_positives, sum(true_n - common)::BIGINT AS false_negatives, {k('true_n = 0 AND pred_n = 0')} AS singletons_correct, {nan(k('true_n = 0 AND pred_n = 0'), k('true_n = 0'))} AS singleton_accuracy FROM counted",
         "eval_by_country": f"SELECT q.country, count(*) AS total_s1, {measures} FROM counted JOIN q ON counted.s1 = q.entity_id WHERE q.country <> '' GROUP BY q.country",
@@ -187,7 +202,7 @@ need AS (SELECT DISTINCT cand AS entity_id FROM links WHERE s1 IN (SELECT entity
         "error_examples": (errors, "SELECT category, s1, detail, place FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY s1, detail) AS place FROM errors) WHERE place <= 10"),
         "matching_results": "SELECT row_ord, s1 || chr(9) || array_to_string(ids, ',') AS line FROM decided",
         "candidate_file": "SELECT row_ord, s1 || chr(9) || array_to_string(list_sort(ids), ',') AS line FROM lists",
-        "validate_findings": (found, "SELECT problem_type, count(*) AS findings, min(s1) AS first_s1 FROM findings GROUP BY problem_type"),
+        "validate_findings": (found, "SELECT problem_type, count(*) AS findings, min(s1) AS first_s1, min(u) AS first_ids FROM findings GROUP BY problem_type"),
         "coverage_check": f"SELECT count(*) AS total_s1, {k('shown')} AS output_s1, {k('NOT shown')} AS missing, 0::BIGINT AS extra, {k('fr')} AS label_total, {k('fr AND shown')} AS label_in_output, {k('fr AND NOT shown')} AS label_missing, coalesce(array_to_string((list(s1 ORDER BY s1) FILTER (NOT shown))[1:10], ','), '') AS missing_examples, '' AS extra_examples FROM (SELECT d.s1, len(d.ids) > 0 AS shown, lower(trim(q.country)) = 'fr' AS fr FROM q JOIN decided d ON q.entity_id = d.s1)",
         "data_audit": f"SELECT substr(entity_id, 1, 2) AS source, country, count(*) AS records, {k(chr(34) + 'name' + chr(34) + ' = ' + chr(39) * 2)} AS empty_names, {k('address = ' + chr(39) * 2)} AS empty_addresses, 0::BIGINT AS bad_ids FROM rec GROUP BY ALL",
         "match_length_histogram": "SELECT len(ids) AS links, count(*) AS queries FROM truth GROUP BY 1",

@@ -72,19 +72,27 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
     return numbered.withColumn("value", F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")))
 
 
-def read_output_strict(spark: SparkSession, path: str) -> tuple[list[str], DataFrame, DataFrame]:
-    """(header in lower case, rows with ordered ids and line numbers, malformed lines).
+def parse_output(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value, utf8, columns, s1, ids) of each line that is not empty, the header too.
 
-    Empty items of a list are kept, so that ``a,,b`` shows as a bad id.  Rows are malformed unless they have two columns and an S1 id.
+    Empty items of a list are kept, so that ``a,,b`` shows as a bad id.  Lines are malformed, and s1 is null, unless they have two
+    columns and an S1 id; the header's s1 is null too.
     """
-    lines = _numbered(spark, path)
+    lines = _numbered(spark, path).filter((F.col("line") == 1) | (F.col("value") != ""))
+    body = lines.withColumn("utf8", F.is_valid_utf8("value")).withColumn("p", F.split("value", "\t")).withColumn("columns", F.size("p"))
+    good = (F.col("line") > 1) & (F.col("columns") == 2) & (F.trim(F.col("p")[0]) != "")
+    listed = F.when(F.trim(F.col("p")[1]) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(F.col("p")[1], ","), lambda x: F.trim(x)))
+    # a good line's text is not needed again
+    kept = F.when(~good | ~F.col("utf8"), F.col("value"))
+    return body.select("line", kept.alias("value"), "utf8", "columns", F.when(good, F.trim(F.col("p")[0])).alias("s1"), F.when(good, listed).alias("ids"))
+
+
+def read_output_strict(spark: SparkSession, path: str) -> tuple[list[str], DataFrame, DataFrame]:
+    """(header in lower case, rows with ordered ids and line numbers, malformed lines) of parse_output."""
+    lines = parse_output(spark, path)
     head = lines.filter("line = 1").first()
     header = [h.strip().lower() for h in head["value"].split("\t")] if head else []
-    body = lines.filter("line > 1").withColumn("p", F.split("value", "\t"))
-    good = (F.size("p") == 2) & (F.trim(F.col("p")[0]) != "")
-    listed = F.when(F.trim(F.col("p")[1]) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(F.col("p")[1], ","), lambda x: F.trim(x)))
-    rows = body.filter(good).select("line", F.trim(F.col("p")[0]).alias("s1"), listed.alias("ids"))
-    return header, rows, body.filter(~good & (F.trim("value") != "")).select("line", "value")
+    return header, lines.filter("s1 is not null").select("line", "s1", "ids"), lines.filter("line > 1 and s1 is null").select("line", "value")
 
 
 def last_rows(rows: DataFrame) -> DataFrame:

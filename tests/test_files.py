@@ -8,6 +8,7 @@ from quillmatch.config import RetrievalConfig
 from quillmatch.functions import text
 from quillmatch.operators import output, retrieval, store
 from quillmatch.sources import generate, tsv
+from quillmatch.sources.files import Files, Scratch
 from quillmatch.streaming import retrieval as streaming
 
 HEAD = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
@@ -63,6 +64,26 @@ def test_line_numbers_over_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_files_by_hadoop_paths(spark, tmp_path):
+    files, here = Files(spark), f"file://{tmp_path}"
+    files.write(f"{here}/a/x", b"one\n")
+    files.write(f"{here}/a/x", b"two\n")
+    files.write(f"{here}/a/y", b"")
+    assert files.read(f"{here}/a/x") == b"two\n" and files.size(f"{here}/a") == 4 and [f.rsplit("/", 1)[1] for f in files.listed(f"{here}/a")] == ["x", "y"]
+    files.concat(files.listed(f"{here}/a"), f"{here}/b", b"head\n")
+    assert (tmp_path / "b").read_bytes() == b"head\ntwo\n" and not files.exists(f"{here}/a/x.part")
+    for name in ("b", "a"):
+        assert files.fingerprint(f"{here}/{name}") == tsv.fingerprint(str(tmp_path / name))
+    before = files.fingerprint(f"{here}/a")
+    files.write(f"{here}/a/x", b"TWO\n")
+    assert files.fingerprint(f"{here}/a") != before
+    scratch = Scratch(spark, "t")
+    table = scratch.save(spark.range(3).toDF("i"), "t")
+    assert table.count() == 3
+    scratch.drop(table)
+    assert files.exists(scratch.root) and not files.exists(f"{scratch.root}/1-t")
+
+
 def test_archive(tmp_path):
     import zipfile
 
@@ -126,11 +147,13 @@ def test_outputs_round_trip(spark, files, tmp_path):
     assert open(m).read() == "source1_entity_id\tmatched_entity_ids\nS1-0\tS2-1\nS1-1\t\nS1-2\t\n"
     assert open(c).read().splitlines()[1] == "S1-0\tS2-1,S3-1"
     s1 = _write(tmp_path / "s1.tsv", "".join(f"S1-{i}\ta\tb\tc\n" for i in range(3)))
-    assert output.validate_files(spark, s1, m, c) == [] and output.summary([]) == "PASS"
+    good = output.validate_files(spark, s1, m, c)
+    assert good.passed and good.summary().startswith("PASS")
+    assert (good.total_s1, good.matching_rows, good.empty_matching_rows, good.candidate_rows, good.empty_candidate_rows) == (3, 3, 2, 3, 1)
     with pytest.raises(ValueError, match="PREDICTION_NOT_SUBSET"):
         output.write_outputs(q, cands, lists([("S1-0", ["S2-9"]), ("S1-1", []), ("S1-2", [])]), str(tmp_path / "p"))
     assert not list((tmp_path / "p").glob("*")) if (tmp_path / "p").exists() else True
-    kinds = lambda *a, **k: {f["problem_type"] for f in output.validate_files(spark, *a, **k)}
+    kinds = lambda *a, **k: set(output.validate_files(spark, *a, **k).counts)
     assert kinds("/none", m, c) == {"MISSING_TEST_S1_FILE"} and kinds(s1, "/none", c) == {"MISSING_MATCHING_FILE"}
     assert kinds(s1, m) == {"MISSING_CANDIDATE_FILE"} and kinds(s1, m, require_candidates=False) == set()
     bad = _write(tmp_path / "bad.tsv", "S1-0\tS2-1,,X\nS1-0\tS2-1\none\n", "wrong\theader\n")
@@ -139,6 +162,55 @@ def test_outputs_round_trip(spark, files, tmp_path):
     assert kinds(s1, broken, c) == {"ENCODING_ERROR"} and "ENCODING_ERROR" in kinds(s1, m, broken)
 
 
+def test_every_malformed_line_is_a_finding(spark, tmp_path):
+    s1 = _write(tmp_path / "s1.tsv", "".join(f"S1-{i}\ta\tb\tFrance\n" for i in range(40)))
+    body = "".join(f"S1-{i}\tS2-{i}\n" if i % 2 else f"S1-{i} no tab {i}\n" for i in range(40)) + "S1-1\t\nS1-99\tS2-1,S2-1\n\tS2-5\n\nS1-3\tS2-3\tx\n"
+    m = _write(tmp_path / "m.tsv", body, "source1_entity_id\tmatched_entity_ids\n")
+    c = _write(tmp_path / "c.tsv", "".join(f"S1-{i}\tS2-{i}\n" for i in range(40)), "source1_entity_id\tcandidate_entity_ids\n")
+    countries = spark.createDataFrame([(f"S1-{i}", " France " if i < 4 else "US") for i in range(40)], "s1 string, country string")
+    corpus = spark.createDataFrame([(f"S2-{i}",) for i in range(30)], "entity_id string")
+    found = output.validate_files(spark, s1, m, c, corpus, countries)
+    # of an S1 that is there twice the last row counts; ids of candidates are checked too
+    assert found.counts == {
+        "MALFORMED_ROW": 22, "DUPLICATE_S1_ROW": 1, "MISSING_S1_ROWS": 1, "EXTRA_S1_ROWS": 1, "DUPLICATE_IDS": 1, "UNKNOWN_S2S3_IDS": 15, "FRANCE_COVERAGE": 1, "PREDICTION_NOT_SUBSET_OF_CANDIDATES": 1,
+    }
+    assert (found.total_s1, found.matching_rows, found.empty_matching_rows, found.candidate_rows, found.label_total, found.label_in_output) == (40, 21, 1, 40, 4, 2)
+    lines = {r["context"] for r in found.findings.filter("problem_type = 'MALFORMED_ROW'").collect()}
+    assert "matches: line 2 has 1 columns: S1-0 no tab 0" in lines and "matches: line 44 has 2 columns: \tS2-5" in lines and "matches: line 46 has 3 columns: S1-3\tS2-3\tx" in lines
+    missing = found.findings.filter("problem_type = 'MISSING_S1_ROWS'").first()
+    assert missing["context"] == "matches: 20" and len(missing["invalid_ids"]) == 10
+    assert found.summary().startswith("FAIL: 43 findings") and "MALFORMED_ROW: 22" in found.summary()
+
+
+def test_external_validator_is_looked_for_upwards(tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "check.py").write_text("import sys\nprint(*sys.argv[1:])\nsys.exit(3)\n")
+    assert output.run_external_validator("check.py", "x", "y", start=str(tmp_path / "a" / "b")) == (3, "x y\n")
+    assert output.run_external_validator("other.py", start=str(tmp_path))[0] == 1
+
+
+def test_train_then_predict(spark, tmp_path, capsys):
+    """A model trained on one set of files decides those of the same kind; sweeps use the validation split."""
+    names = [f"firm{i // 3:02d} kind{i % 40:02d}" for i in range(96)]
+    row = lambda s, i, n: f"S{s}-{i}\t{n}\t{i} main street\tUS\n"
+    paths = {
+        "source1": _write(tmp_path / "s1.tsv", "".join(row(1, i, n) for i, n in enumerate(names))),
+        "source2": _write(tmp_path / "s2.tsv", "".join(row(2, i, n) for i, n in enumerate(names))),
+        "source3": _write(tmp_path / "s3.tsv", "".join(row(3, i, n + " works") for i, n in enumerate(names))),
+        "truth": _write(tmp_path / "t.tsv", "".join(f"S1-{i}\tS2-{i},S3-{i}\n" for i in range(len(names))), "source1_entity_id\tmatched_entity_ids\n"),
+    }
+    assert cli.main(["index", "--source2", paths["source2"], "--source3", paths["source3"], "--folder", str(tmp_path)]) == 0
+    common = ["--source1", paths["source1"], "--manifest", f"{tmp_path}/manifest.json"]
+    assert cli.main(["train", *common, "--truth", paths["truth"], "--folder", str(tmp_path / "model"), "--rounds", "4"]) == 0
+    model = ["--model", str(tmp_path / "model" / "model.json")]
+    capsys.readouterr()
+    assert cli.main(["sweep", *common, "--truth", paths["truth"], *model, "--thresholds", "0.3", "0.6"]) == 0
+    assert capsys.readouterr().out.count("macro F0.5") == 4
+    assert cli.main(["predict", *common, *model, "--source3-threshold", "0.99999", "--output", str(tmp_path / "out")]) == 0
+    rows = dict(line.split("\t") for line in open(tmp_path / "out" / "matching_results.tsv").read().splitlines()[1:])
+    assert len(rows) == len(names) and sum(f"S2-{k[3:]}" in v for k, v in rows.items()) > 0.9 * len(names) and not any("S3-" in v for v in rows.values())
+
+
 def test_command_line(spark, files, tmp_path, capsys):
     assert cli.main(["index", "--source2", files["source2"], "--source3", files["source3"], "--folder", str(tmp_path)]) == 0
     assert cli.main(["retrieve", "--source1", files["source1"], "--manifest", f"{tmp_path}/manifest.json", "--output", str(tmp_path / "out"), "--threshold", "0.9"]) == 0

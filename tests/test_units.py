@@ -172,7 +172,7 @@ def test_features_edge_cases(spark):
     pairs = spark.createDataFrame([("a", "abc"), ("abc", "abd"), ("", "x"), ("", ""), ("😀a", "😀b"), ("same", "same")], "a string, b string")
     got = pairs.select(features.exact(F.col("a"), F.col("b")), features.length_ratio(F.col("a"), F.col("b")), features.prefix_ratio(F.col("a"), F.col("b"))).collect()
     assert [tuple(round(v, 4) for v in r) for r in got] == [(0, 0.3333, 1), (0, 1, 0.6667), (0, 0, 0), (0, 0, 0), (0, 1, 0.5), (1, 1, 1)]
-    ratio = {(r["a"], r["b"]): r["r"] for r in features.char_ratios(pairs, "a", "b", "r").collect()}
+    ratio = {(r["a"], r["b"]): r["r"] for r in pairs.withColumn("r", features.char_ratio(F.col("a"), F.col("b"))).collect()}
     assert ratio["same", "same"] == 1.0 and ratio["", ""] == 0.0 and ratio["abc", "abd"] == pytest.approx(2 / 3)
     nums = spark.createDataFrame([(["unit42", "7"], ["４２"])], "n array<string>, a array<string>").select(features.numbers(F.col("n"), F.col("a")).alias("x")).first()
     assert nums["x"] == ["42", "7", "４２"]
@@ -207,9 +207,9 @@ def test_model_round_trip(spark, tmp_path):
     rng = {n: i for i, n in enumerate(features.NAMES)}
     rows = training.training_pairs(pairs, links, SamplingConfig(2, 3)).withColumns({n: (F.col("label") * 0.5 + F.lit(i % 3) * 0.1 + F.col("rank") * 0.01).cast("double") for n, i in rng.items()})
     training.train(rows, str(tmp_path), TrainConfig(rounds=3), candidate_config={"cap": 4})
-    loaded = training.load(f"{tmp_path}/model.json")
+    loaded = training.load(spark, f"{tmp_path}/model.json")
     first = {(r["s1"], r["cand"]): r["score"] for r in training.score(rows, loaded, candidate_config={"cap": 4}).collect()}
-    second = {(r["s1"], r["cand"]): r["score"] for r in training.score(rows.orderBy(F.desc("cand")), training.load(f"{tmp_path}/model.json")).collect()}
+    second = {(r["s1"], r["cand"]): r["score"] for r in training.score(rows.orderBy(F.desc("cand")), training.load(spark, f"{tmp_path}/model.json")).collect()}
     assert first == second and all(0 <= v <= 1 for v in first.values())
     for bad in (lambda: training.score(rows, loaded, index_version="0"), lambda: training.score(rows, loaded, candidate_config={"cap": 5}), lambda: training.train(rows.filter("label = 1"), str(tmp_path / "x"))):
         with pytest.raises(ValueError):
@@ -219,4 +219,4 @@ def test_model_round_trip(spark, tmp_path):
     extra = next((tmp_path / "model").rglob("part-*"))
     extra.write_bytes(extra.read_bytes() + b"x")
     with pytest.raises(ValueError, match="changed"):
-        training.load(f"{tmp_path}/model.json")
+        training.load(spark, f"{tmp_path}/model.json")
