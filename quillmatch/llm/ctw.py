@@ -11,9 +11,12 @@ the data does not matter.  ``score`` is the log10 probability of all bytes,
 ``code_length`` their bits a byte.
 
 What is learnt covers every training text: counts of all windows of depth + 1
-bytes and of all words, summed before and after one shuffle, and no context is
-left out.  Contexts with the same last ``SHARED`` bytes form a subtree, weighed
-within one task; what is above the subtrees is bounded by the bytes there are,
+bytes and of all words, and no context is left out.  Windows are dealt to
+``PARTS`` parts by a hash of the last ``SHARED`` bytes of their context.  A task
+sums its windows and writes them sorted by part, a compressed block for each
+part, so the one shuffle carries a few bytes a window; a part's blocks are summed
+one after the other.  Contexts with the same last bytes form a subtree, weighed
+within their part; what is above the subtrees is bounded by the bytes there are,
 weighed on the driver and broadcast.  With both, every window of any text gets
 its probability.  The windows used most, at most ``grams`` by a threshold on
 their uses, are broadcast; all others meet theirs in a shuffle, so ``grams``
@@ -25,11 +28,15 @@ broadcast; the counts of all others meet their words in a shuffle, so the sum is
 
 Null texts count as empty: they have one token, the end.  Rows with a null id
 are learnt from.  Repeated rows count each.  With nothing to learn from, every
-bit has probability 1/2 and the base score is 0.
+bit has probability 1/2 and the base score is 0.  Texts of any length are
+counted and scored whole, some megabytes at a time.  Words and windows that are
+used equally often are all broadcast or none.  Of the input only the id and the
+text are read, so other columns can't clash.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +44,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +52,12 @@ from pyspark.sql import functions as F
 from .common import Scratch, as_bytes, slices, texts
 
 DEPTH = 6
-GRAMS = 600_000
+GRAMS = 1_000_000
 SHARED = 3
+PARTS = 4096
 CHUNK = 100_000
+#: Distinct windows that a task sums before it writes them.
+HELD = 1_500_000
 HEAD = 262_144
 END = b"\n"
 _LN10 = math.log(10)
@@ -79,27 +90,57 @@ def windows(data: list[bytes], depth: int) -> np.ndarray:
 # Learning
 
 
+def part_of(grams: np.ndarray, depth: int) -> np.ndarray:
+    """The part of each window: a hash of the last SHARED bytes of its context."""
+    shared = (grams >> np.uint64(8)) & np.uint64((1 << (8 * min(SHARED, depth))) - 1)
+    return ((shared * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % PARTS
+
+
+def pack_blocks(keys: np.ndarray, counts: np.ndarray, cuts: list[int]) -> list[bytes]:
+    """Windows, sorted between the cuts, with n and uses, as a block for each cut: differences and counts, byte by byte, compressed."""
+    rows = np.empty((3, len(keys)), np.uint64)
+    rows[0] = np.diff(keys, prepend=np.uint64(0))
+    rows[0, cuts[:-1]] = keys[cuts[:-1]]
+    rows[1:] = counts.T
+    planes = np.ascontiguousarray(rows.view(np.uint8).reshape(3, -1, 8).transpose(2, 0, 1))
+    views, squeeze = [memoryview(p) for p in planes.reshape(24, -1)], zstandard.ZstdCompressor(1).compress
+    return [squeeze(b"".join([v[lo:hi] for v in views])) for lo, hi in itertools.pairwise(cuts)]
+
+
+def unpack_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(block), np.uint8).reshape(8, 3, -1)
+    rows = np.ascontiguousarray(planes.transpose(1, 2, 0)).view(np.uint64)[..., 0]
+    return np.cumsum(rows[0], dtype=np.uint64), rows[1:].T.astype(np.int64)
+
+
 def _count(depth: int):
-    """(text, held_out) -> partial counts, n in training texts and uses in all, of words (the end is the empty word; training only) and of windows."""
+    """(text, held_out) -> blocks of windows, with n in training texts and uses in all, by part, and words with n in training texts (the end is the empty word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
         grams: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
 
-        def flush() -> pa.RecordBatch:
-            nonlocal held
+        def flush(end: bool) -> pa.RecordBatch:
+            """The windows so far, and the words at the end or where they are many."""
+            nonlocal held, words
+            given, words = (words, Counter()) if end or len(words) > 300_000 else ({}, words)
             keys, counts = _sum(grams) if grams else (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
-            n, m = len(words), len(keys)
+            part = part_of(keys, depth)
+            order = np.argsort(part, kind="stable")
+            keys, counts, part = keys[order], counts[order], part[order]
+            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            blocks = pack_blocks(keys, counts, cuts.tolist())
+            n, m = len(given), len(blocks)
             out = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*words.keys(), *[None] * m], pa.binary()),
-                    pa.array(np.concatenate([np.zeros(n, np.int64), keys.view(np.int64)]), mask=np.repeat([True, False], [n, m])),
-                    *[pa.array(np.concatenate([np.fromiter(words.values(), np.int64, n), counts[:, i]])) for i in range(2)],
+                    pa.array([*given.keys(), *[None] * m], pa.binary()),
+                    pa.array([*given.values(), *[None] * m], pa.int64()),
+                    pa.array([*[None] * n, *part[cuts[:-1]].tolist()], pa.int64()),
+                    pa.array([*[None] * n, *blocks], pa.binary()),
                 ],
-                names=["word", "gram", "n", "uses"],
+                names=["word", "n", "part", "block"],
             )
-            words.clear()
             grams.clear()
             held = 0
             return out
@@ -123,16 +164,67 @@ def _count(depth: int):
                     keys, counts = np.unique(windows(some, depth), return_counts=True)
                     grams.append((keys, np.stack([counts * learnt, counts], 1).astype(np.int64)))
                     held += len(keys)
-                if held > 1_500_000:
+                if held > HELD:
                     grams[:] = [_sum(grams)]
                     held = len(grams[0][0])
-                if held > 1_000_000 or len(words) > 400_000:
-                    yield flush()
-        yield flush()
+                if held > HELD * 2 // 3 or len(words) > 300_000:
+                    yield flush(False)
+        yield flush(True)
 
     return run
 
 
+def _merge(least: int, depth: int):
+    """(part, block) sorted by part -> (block, and what its subtrees give to the nodes above them) of whole parts, some CHUNK windows at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, size = None, [], 0
+
+        def close() -> pa.RecordBatch:
+            keys, counts = _sum(held)
+            key, *values = _subtree(keys, counts[:, 0], least, depth)[1]
+            kinds, back = np.unique(_parent(key, least - 1) if least else key, return_inverse=True)
+            roots = [kinds.view(np.int64), *[np.bincount(back, v, len(kinds)) for v in values]]
+            return pa.RecordBatch.from_arrays([pa.array(pack_blocks(keys, counts, [0, len(keys)])), *[pa.array([r], f.type) for r, f in zip(roots, list(_MERGED)[1:], strict=True)]], schema=_MERGED)
+
+        for batch in batches:
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if part != last and size > CHUNK:
+                    held[:] = [_sum(held)]
+                    size = len(held[0][0])
+                    if size > CHUNK:
+                        yield close()
+                        held, size = [], 0
+                last = part
+                held.append(unpack_block(block.as_py()))
+                size += len(held[-1][0])
+                if size > HELD:
+                    held[:] = [_sum(held)]
+                    size = len(held[0][0])
+        if held:
+            yield close()
+
+    return run
+
+
+_MERGED = pa.schema([("block", pa.binary()), ("node", pa.list_(pa.int64())), *[(c, pa.list_(pa.float64())) for c in ("zeros", "ones", "weighted")]])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(block) -> windows and counts of whole parts, some CHUNK windows at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        for block in batch.column(0):
+            held.append(unpack_block(block.as_py()))
+            size += len(held[-1][0])
+            if size >= CHUNK:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
 def _sum(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -328,51 +420,27 @@ def _least(sizes: list, most: int) -> int:
     return least
 
 
-def count(source: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
-    """source(text binary, held_out boolean) -> (word, gram, n, uses); either word or gram is null."""
-    counted = source.mapInArrow(_count(depth), "word binary, gram long, n long, uses long")
-    return scratch.save(counted.groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "counts")
-
-
-def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """(part, columns...) sorted by part -> the columns for whole parts, some CHUNK rows at a time."""
-    held: list[list[np.ndarray]] = []
-    size = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append([np.array(c.to_numpy(zero_copy_only=False)) for c in batch.columns])
-        size += batch.num_rows
-        if size >= CHUNK and held[0][0][0] != held[-1][0][-1]:
-            columns = list(map(np.concatenate, zip(*held, strict=True)))
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            yield [x[:cut] for x in columns[1:]]
-            held, size = [[x[cut:] for x in columns]], size - cut
-    if held:
-        yield list(map(np.concatenate, zip(*held, strict=True)))[1:]
+def count(source: DataFrame, scratch: Scratch, depth: int) -> tuple[DataFrame, DataFrame]:
+    """source(text binary, held_out boolean) -> (word, n), and (block, node, zeros, ones, weighted): the windows of each part and its roots."""
+    least = min(SHARED, depth)
+    counted = scratch.save(source.mapInArrow(_count(depth), "word binary, n long, part long, block binary"), "counts")
+    words = counted.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    blocks = counted.filter("part is not null").select("part", "block").repartition("part").sortWithinPartitions("part")
+    merged = blocks.mapInArrow(_merge(least, depth), "block binary, node array<long>, zeros array<double>, ones array<double>, weighted array<double>")
+    out = scratch.save(words, "words"), scratch.save(merged, "parts")
+    scratch.drop(counted)
+    return out
 
 
 def _subtree(gram: np.ndarray, n: np.ndarray, least: int, depth: int) -> tuple[list, tuple]:
     """_weigh for the windows of whole parts, from depth least on."""
-    keys, counts, bits = gram[n > 0].view(np.uint64), n[n > 0], []
+    keys, counts, bits = gram[n > 0], n[n > 0], []
     for d in range(depth, least - 1, -1):
         keys, counts = _sum([(keys & np.uint64((1 << (8 * (d + 1))) - 1), counts)])
         bits.append(_bits(keys, counts))
     return _weigh(bits[::-1], least)
 
 
-def _roots(least: int, depth: int):
-    """(part, gram, n) -> what the subtrees give to the nodes above them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, n in _whole_parts(batches):
-            key, *values = _subtree(gram, n, least, depth)[1]
-            kinds, back = np.unique(_parent(key, least - 1), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), *[pa.array(np.bincount(back, v, len(kinds))) for v in values]], names=["node", "zeros", "ones", "weighted"])
-
-    return run
-
-
 def _top(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, least: int) -> list:
     """The nodes above the subtrees, from what _roots gives to those of depth least - 1."""
     order = np.argsort(node)
@@ -385,32 +453,29 @@ def _top(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.nda
 
 
 def _price(least: int, depth: int, top):
-    """(part, gram, n, uses) -> (gram, uses, p)."""
+    """(block) -> (gram, uses, p)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, n, uses in _whole_parts(batches):
-            tree = Tree(depth, [], [*top.value, *_subtree(gram, n, least, depth)[0]], [])
-            window = gram.view(np.uint64)
-            deepest = np.full(len(gram), -1)
+        for window, counts in _chunks(batches):
+            tree = Tree(depth, [], [*top.value, *_subtree(window, counts[:, 0], least, depth)[0]], [])
+            deepest = np.full(len(window), -1)
             for d, (key, *_) in enumerate(tree.nodes):
                 if len(key):
                     root = (window >> np.uint64(8) & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8) | np.uint64(1)
                     deepest[key[np.minimum(np.searchsorted(key, root), len(key) - 1)] == root] = d
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(uses), pa.array(log_probability(tree, window, deepest))], names=["gram", "uses", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array(window.view(np.int64)), pa.array(counts[:, 1]), pa.array(log_probability(tree, window, deepest))], names=["gram", "uses", "p"])
 
     return run
 
 
-def price(grams: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
-    """grams(gram, n, uses) -> (gram, uses, p): the natural log of each window's last byte after the others, in the tree of all windows."""
+def price(merged: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
+    """count()'s parts -> (gram, uses, p): the natural log of each window's last byte after the others, in the tree of all windows."""
     least = min(SHARED, depth)
-    part = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * least)) - 1)).alias("part")
-    dealt = lambda *columns: grams.select(part, *columns).repartition("part").sortWithinPartitions("part")
-    roots = dealt("gram", "n").filter("n > 0").mapInArrow(_roots(least, depth), "node long, zeros double, ones double, weighted double")
+    roots = merged.select(F.inline(F.arrays_zip("node", "zeros", "ones", "weighted")))
     roots = roots.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]).toArrow()
     node, *values = (np.array(roots.column(i).to_numpy()) for i in range(4))
-    top = grams.sparkSession.sparkContext.broadcast(_top(node.astype(np.uint64), *values, least))
-    return scratch.save(dealt("gram", "n", "uses").mapInArrow(_price(least, depth, top), "gram long, uses long, p double"), "priced")
+    top = merged.sparkSession.sparkContext.broadcast(_top(node.astype(np.uint64), *values, least))
+    return scratch.save(merged.select("block").mapInArrow(_price(least, depth, top), "gram long, uses long, p double"), "priced")
 
 
 def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int = GRAMS) -> tuple[Tree, DataFrame]:
@@ -418,9 +483,10 @@ def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int
 
     Contexts seen less than a threshold are merged into one remaining child of their parent, so that at most ``grams`` pairs of
     context and byte are left.  score() does not use this tree, it weighs all contexts."""
-    counted = count(texts_df.select("text", F.lit(False).alias("held_out")), scratch, depth)
+    words, merged = count(texts_df.select("text", F.lit(False).alias("held_out")), scratch, depth)
+    counted = merged.select("block").mapInArrow(_unpacked, "gram long, n long")
     levels = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit((1 << (8 * (d + 1))) - 1).alias("mask")) for d in range(depth + 1)])).alias("level")
-    keyed = counted.filter("gram is not null").select("gram", "n", levels)
+    keyed = counted.select("gram", "n", levels)
     keyed = keyed.select(F.col("level.d").alias("d"), F.col("gram").bitwiseAND(F.col("level.mask")).alias("key"), "n").groupBy("d", "key").agg(F.sum("n").alias("n"))
     pair = F.struct(F.col("key").bitwiseAND(F.lit(255)).cast("short").alias("byte"), "n")
     contexts = keyed.groupBy("d", F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"), F.collect_list(pair).alias("bytes"))
@@ -435,7 +501,12 @@ def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int
         keys = context[mine].astype(np.uint64) << np.uint64(8) | byte[mine].astype(np.uint64)
         order = np.argsort(keys)
         out.append((keys[order], n[mine][order].astype(np.int64)))
-    return build(out), counted.filter("word is not null").select("word", "n")
+    return build(out), words
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for window, counts in _chunks(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(window.view(np.int64)), pa.array(counts[:, 0])], names=["gram", "n"])
 
 
 def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
@@ -519,9 +590,9 @@ def score(
     The model learns from the rows for which held_out is false."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "ctw")
     source = docs.select(F.col(id_col).alias("id"), as_bytes(text_col).alias("text"), held_out.alias("held_out"))
-    counted = count(source.select("text", "held_out"), scratch, depth)
-    words = counted.filter("word is not null").select("word", "n")
-    priced = price(counted.filter("gram is not null").select("gram", "n", "uses"), scratch, depth)
+    words, merged = count(source.select("text", "held_out"), scratch, depth)
+    priced = price(merged, scratch, depth)
+    scratch.drop(merged)
     used = F.floor(8 * F.log2("uses"))
     often = _least(priced.groupBy(used).count().collect(), grams)
     known = priced.filter(used >= often).select("gram", "p").toArrow()
