@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from .common import append_columns, as_bytes, texts, tokenizer_path
 from .encoding import by_bytes
 
-CACHE = 400_000
-PAIRS = 1_000_000
+CACHE = 150_000
+PAIRS = 400_000
 
 
 def byte_letters() -> list[str]:
