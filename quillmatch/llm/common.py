@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,45 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it.
-
-    Only where ``spark.checkpoint.dir`` is unset (tests) a folder is chosen
-    here: a temporary one in local mode, the warehouse on a cluster.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        return _LOCAL_SCRATCH.setdefault(context.applicationId, tempfile.mkdtemp(prefix="quillmatch-"))
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quillmatch_scratch"
-
-
-class Scratch:
-    """Tables written to the shared folder, so that a lost executor costs no lineage."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.made = 0
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        self.made += 1
-        path = f"{self.root}/{self.made}-{name}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._quillmatch_path = path
-        return out
-
-    def drop(self, df: DataFrame) -> None:
-        """Removes a table that save() returned and that nothing reads any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._quillmatch_path)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
+from ..sources.files import Scratch as Scratch
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -277,6 +277,7 @@ def near_duplicates(
 
     links = found.filter("n is not null").groupBy(F.col("a").alias("nid")).agg(F.sum("n").alias("linked"))
     root = components(found.filter("b is not null").select("a", "b"), scratch).withColumnRenamed("node", "nid")
+    scratch.drop(dealt, full)
     named = nodes.select("nid", "label", "vector", "first", "copies").join(links, "nid", "left").join(root, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     named = scratch.save(named.drop("nid"), "named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -16,7 +16,11 @@ operations; where a stream has no complete seek table its frames are found one
 after another.
 
 Null media decode to null.  Null and empty texts are payloads of 64 zero bytes
-(``payload``).  Rows with a null id and repeated rows are handled each.
+(``payload``).  Rows with a null id and repeated rows are handled each.  Texts of
+any length are stored whole, in as many frames as they need.  Of encodings of
+equal size the first tried is taken, so equal texts give equal streams.  Columns
+whose names clash with the results', in any case, are replaced.  An empty table
+gives an empty one.
 """
 
 from __future__ import annotations

@@ -273,7 +273,9 @@ def _link(cells: DataFrame, payload: list[str], run, scratch: Scratch, cell_rows
     largest = sizes.groupBy("grid", "cell").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), (F.sum("count") - F.max("count")).alias("others"))
     mixed = scratch.save(largest.filter("others > 0").withColumn("bands", F.ceil(F.col("others") / cell_rows)), "mixed")
     if mixed.isEmpty():
+        scratch.drop(crowd, edges, mixed, full)
         return labels
+    whole_crowd = crowd
     crowd = crowd.join(mixed, ["grid", "cell"])
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
     mine = lambda n: F.pmod(F.xxhash64("nid"), F.col(n)).cast("long")
@@ -281,7 +283,9 @@ def _link(cells: DataFrame, payload: list[str], run, scratch: Scratch, cell_rows
     queries = crowd.filter("root <> largest").select(*kept, mine("bands").alias("band"), "parts").select(*kept, "band", spread("parts").alias("part"), F.lit(0).alias("side"))
     whole = crowd.select(*kept, mine("parts").alias("part"), "bands").select(*kept, spread("bands").alias("band"), "part", F.lit(1).alias("side"))
     across = verify(queries.unionByName(whole), ["grid", "cell", "band", "part"])
-    return components(edges.unionByName(across), scratch)
+    out = components(edges.unionByName(across), scratch)
+    scratch.drop(whole_crowd, edges, mixed, full)
+    return out
 
 
 def link_components(fps: DataFrame, scratch: Scratch, radius: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -572,6 +576,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = scratch.save(members.select(F.lit(0).alias("grid"), "cell", "nid", "text", "shingles"), "members")
     size = F.lit(1) + F.col("shingles") * F.lit(min(cell_rows, SET_ROWS) / SET_SIZE)
     root = _link(members, ["text"], lambda keys: _verified(words, similarity, keys), scratch, min(cell_rows, SET_ROWS), size)
+    scratch.drop(members)
     rooted = nodes.select("nid", "s").join(root.withColumnRenamed("node", "nid"), "nid", "left")
     chosen = rooted.groupBy(F.coalesce("root", "nid").alias("root")).agg(F.min("s").alias("s"))
     return rows.join(chosen.select(F.col("s.r").alias("__row")), "__row", "left_semi").select(*docs.columns)

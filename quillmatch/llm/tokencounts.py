@@ -17,7 +17,11 @@ of the number of segments.
 Edits refer to the text as the edits before them left it.  An edit that lies
 outside of it is cut to it; one with a null bound or with end before start is
 left out and counts as none.  Null texts count as empty and have no tokens.
-Rows with a null id and repeated rows are counted each.
+Rows with a null id and repeated rows are counted each.  Edits at one place are
+applied in their order.  Texts of any length are counted whole; one without a
+safe place is a single segment, and each edit of it costs its length.  Columns
+whose names clash with the results', in any case, are replaced.  An empty table
+gives an empty one.
 """
 
 from __future__ import annotations
