@@ -356,6 +356,46 @@ def test_license_rules():
     assert licenses.scan("The license was granted to nobody.") == []
 
 
+LGPL = """// This library is free software; you can redistribute it and/or
+// modify it under the terms of the GNU Lesser General Public
+// License as published by the Free Software Foundation; either
+// version 2.1 of the License, or (at your option) any later version.
+//
+// This library is distributed in the hope that it will be useful,
+// but WITHOUT ANY WARRANTY; without even the implied warranty of
+// MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+// Lesser General Public License for more details.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_licenses_of_whole_wrapped_texts():
+    whole = lambda text: {(name, len(licenses.RULES[rule][1])) for name, rule, _, _ in licenses.scan(text)}
+    assert whole(LGPL) == {("LGPL-2.1-or-later", 3)} | ({("LGPL-2.1-or-later", 7)} if "received" in LGPL else set())
+    received = "//\n// You should have received a copy of the GNU Lesser General Public\n// License along with this library.\n"
+    assert ("LGPL-2.1-or-later", 7) in whole(LGPL + received)
+    assert whole(ISC) == {("ISC", 1), ("ISC", 3)}
+    # out of order the sentences are known, and no rule of several holds
+    parts = ISC.split("\n\n")
+    assert whole(parts[1] + "\n\n" + parts[0]) == {("ISC", 1)}
+    # one rule for each licence that the sentences name, all of them reachable
+    used = {i for _, rule in licenses.RULES for i in rule}
+    assert used == set(licenses.SENTENCES) and len(set(licenses.SENTENCES.values())) == len(licenses.SENTENCES)
+    for name, rule in licenses.RULES:
+        assert name in {x[0] for x in licenses.scan(". ".join(licenses.SENTENCES[i] for i in rule) + ".")}
+
+
 def test_licenses_odd_tables(odd):
     out = _rows(licenses.recognise(odd))
     assert {r["doc_id"]: r["licenses"] for r in out if r["licenses"]} == {8: ["MIT"]} and len(out) == len(ODD)
