@@ -251,14 +251,11 @@ def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tree:
-    """nodes[d]: sorted keys context << 8 | bit prefix of depth d, with the log odds of weight, the estimate of a one, and that
-    of the remaining contexts below; contexts[d] and grams[d] (context << 8 | byte, with its log probability where the context
-    is the deepest that is known) are sorted."""
+    """nodes[d]: sorted keys context << 8 | bit prefix of depth d, with the weight, the estimate of a one, and that of the
+    remaining contexts below."""
 
     depth: int
-    contexts: list[np.ndarray]
     nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    grams: list[tuple[np.ndarray, np.ndarray]]
 
 
 def _bits(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,15 +304,6 @@ def _weigh(bits: list[tuple[np.ndarray, np.ndarray, np.ndarray]], least: int = 0
     return nodes, below
 
 
-def build(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """levels[d]: context << 8 | byte of depth d, sorted, with counts; every context's suffix is a context too."""
-    nodes, _ = _weigh([_bits(k, c) for k, c in levels])
-    tree = Tree(len(levels) - 1, [np.unique(k >> np.uint64(8)) for k, _ in levels], nodes, [])
-    for d, (keys, _) in enumerate(levels):
-        tree.grams.append((keys, log_probability(tree, keys, np.full(len(keys), d))))
-    return tree
-
-
 def log_probability(tree: Tree, window: np.ndarray, deepest: np.ndarray) -> np.ndarray:
     """Natural log of the byte's probability; deepest: the depth of the longest known context of each window (-1: none)."""
     out = np.zeros(len(window))
@@ -341,38 +329,6 @@ def log_probability(tree: Tree, window: np.ndarray, deepest: np.ndarray) -> np.n
     return out
 
 
-class Scorer:
-    """Looks windows up in a hash table of the tree's pairs of context and byte; the rest is evaluated bit by bit."""
-
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.gram_tables = [_Table(k, v) for k, v in tree.grams]
-        self.context_tables = [_Table(k, np.zeros(len(k))) for k in tree.contexts]
-
-    def score(self, window: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(window))
-        rows = np.arange(len(window))
-        odd_rows, odd_depth = [], []
-        for d in range(self.tree.depth, -1, -1):
-            if not len(rows):
-                break
-            want = window[rows] & np.uint64((1 << (8 * (d + 1))) - 1)
-            hit, value = self.gram_tables[d].get(want)
-            out[rows[hit]] = value[hit]
-            rows, want = rows[~hit], want[~hit]
-            known, _ = self.context_tables[d].get(want >> np.uint64(8))
-            odd_rows.append(rows[known])
-            odd_depth.append(np.full(int(known.sum()), d))
-            rows = rows[~known]
-        odd_rows.append(rows)
-        odd_depth.append(np.full(len(rows), -1))
-        odd, depth = np.concatenate(odd_rows), np.concatenate(odd_depth)
-        if len(odd):
-            kinds, first, back = np.unique(window[odd], return_index=True, return_inverse=True)
-            out[odd] = log_probability(self.tree, kinds, depth[first])[back]
-        return out
-
-
 class _Table:
     """Open addressing over 64-bit keys."""
 
@@ -442,7 +398,7 @@ def _subtree(gram: np.ndarray, n: np.ndarray, least: int, depth: int) -> tuple[l
 
 
 def _top(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, least: int) -> list:
-    """The nodes above the subtrees, from what _roots gives to those of depth least - 1."""
+    """The nodes above the subtrees, from what _merge gives to those of depth least - 1."""
     order = np.argsort(node)
     below = tuple(x[order] for x in (node, zeros, ones, weighted))
     bits = [below[:3]]
@@ -457,7 +413,7 @@ def _price(least: int, depth: int, top):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for window, counts in _chunks(batches):
-            tree = Tree(depth, [], [*top.value, *_subtree(window, counts[:, 0], least, depth)[0]], [])
+            tree = Tree(depth, [*top.value, *_subtree(window, counts[:, 0], least, depth)[0]])
             deepest = np.full(len(window), -1)
             for d, (key, *_) in enumerate(tree.nodes):
                 if len(key):
@@ -478,37 +434,6 @@ def price(merged: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
     return scratch.save(merged.select("block").mapInArrow(_price(least, depth, top), "gram long, uses long, p double"), "priced")
 
 
-def learn(texts_df: DataFrame, scratch: Scratch, depth: int = DEPTH, grams: int = GRAMS) -> tuple[Tree, DataFrame]:
-    """texts_df(text binary) -> a tree in one piece, and the table (word binary, n) of all words; the empty word is the end.
-
-    Contexts seen less than a threshold are merged into one remaining child of their parent, so that at most ``grams`` pairs of
-    context and byte are left.  score() does not use this tree, it weighs all contexts."""
-    words, merged = count(texts_df.select("text", F.lit(False).alias("held_out")), scratch, depth)
-    counted = merged.select("block").mapInArrow(_unpacked, "gram long, n long")
-    levels = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit((1 << (8 * (d + 1))) - 1).alias("mask")) for d in range(depth + 1)])).alias("level")
-    keyed = counted.select("gram", "n", levels)
-    keyed = keyed.select(F.col("level.d").alias("d"), F.col("gram").bitwiseAND(F.col("level.mask")).alias("key"), "n").groupBy("d", "key").agg(F.sum("n").alias("n"))
-    pair = F.struct(F.col("key").bitwiseAND(F.lit(255)).cast("short").alias("byte"), "n")
-    contexts = keyed.groupBy("d", F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"), F.collect_list(pair).alias("bytes"))
-    contexts = scratch.save(contexts, "contexts")
-    octave = F.floor(4 * F.log2("total"))
-    least = _least(contexts.groupBy(octave).agg(F.sum(F.size("bytes"))).collect(), grams)
-    rows = contexts.filter(octave >= least).select("d", "context", F.inline("bytes")).toArrow()
-    d, context, byte, n = (rows.column(i).to_numpy() for i in range(4))
-    out = []
-    for level in range(depth + 1):
-        mine = d == level
-        keys = context[mine].astype(np.uint64) << np.uint64(8) | byte[mine].astype(np.uint64)
-        order = np.argsort(keys)
-        out.append((keys[order], n[mine][order].astype(np.int64)))
-    return build(out), words
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for window, counts in _chunks(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(window.view(np.int64)), pa.array(counts[:, 0])], names=["gram", "n"])
-
-
 def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
     """(id, text, held) -> a row per text, with the words and the windows that the heads lack."""
 
