@@ -157,7 +157,8 @@ def by_length(words: list[str]) -> dict[int, list[int]]:
 
 @dataclass
 class LanguageModel:
-    """p[piece, language]; rate and spread: mean and deviation of the training words' log probability per letter, by letters, in their language."""
+    """p[piece, language]; rate and spread: mean and deviation of the training words' log probability per letter in their language,
+    each word by its letters and the root of its count, so that a word that fills a text does not stand for all."""
 
     langs: list[str]
     pieces: dict[str, int]
@@ -240,7 +241,8 @@ def fit(counts: list[tuple[str, str, int]], rows: dict[str, int], pieces: dict[s
     model = LanguageModel(langs, pieces, p, np.log((total + 1) / (total + 1).sum()))
     scores = model.word_scores(words)
     size = scores[:, -1:]
-    share = seen * size / np.maximum((seen * size).sum(0), 1)
+    share = np.sqrt(seen) * size
+    share /= np.maximum(share.sum(0), 1)
     rates = scores[:, :-1] / np.maximum(size, 1)
     model.rate = (share * rates).sum(0)
     model.spread = np.sqrt((share * (rates - model.rate) ** 2).sum(0))
