@@ -270,25 +270,30 @@ def _ctw_brute(texts, text, depth):
     return out
 
 
-def test_ctw_against_definition(spark):
-    texts = [b"Abc abd abc.", b"bcd abc", b"", b"abc abc"]
-    source = spark.createDataFrame([(bytearray(t),) for t in texts], "text binary")
-    tree, words = ctw.learn(source, Scratch(spark, "t"), depth=2)
-    scorer = ctw.Scorer(tree)
-    for t in [*texts, b"abc zzz", b"qq", b"ABC abx \xc3\xa9"]:
-        got = scorer.score(ctw.windows([ctw.line(t)[1]], 2)).sum() / math.log(10)
-        assert got == pytest.approx(_ctw_brute(texts, t, 2), rel=1e-4)
-    assert {bytes(r["word"]): r["n"] for r in words.collect()} == {b"abc": 4, b"abd": 1, b"abc.": 1, b"bcd": 1, b"": 4}
-
-
-def test_ctw_probabilities_sum_to_one(spark):
-    source = spark.createDataFrame([(bytearray(b"to be or not to be that is the question"),)] * 3, "text binary")
-    for grams in (30, 10_000):
-        tree, _ = ctw.learn(source, Scratch(spark, "t"), depth=3, grams=grams)
-        scorer = ctw.Scorer(tree)
-        for context in (b"\n\n\n", b" be", b"zzz", b"zth"):
-            base = int.from_bytes(context, "big") << 8
-            assert np.exp(scorer.score(np.array([base | b for b in range(256)], np.uint64))).sum() == pytest.approx(1, abs=1e-4)
+def _whole_tree(texts, depth):
+    """The tree of some texts in one piece."""
+    keys, counts = np.unique(ctw.windows([ctw.line(t)[1] for t in texts], depth), return_counts=True)
+    return ctw.Tree(depth, ctw._subtree(keys, counts, 0, depth)[0])
+
+
+def test_ctw_probabilities_sum_to_one():
+    tree = _whole_tree([b"to be or not to be that is the question"] * 3, 3)
+    known = [set((keys >> np.uint64(8)).tolist()) for keys, *_ in tree.nodes]
+    for context in (b"\n\n\n", b" be", b"zzz", b"zth"):
+        base = int.from_bytes(context, "big")
+        deepest = max(d for d in range(4) if base & ((1 << 8 * d) - 1) in known[d])
+        window = np.array([base << 8 | b for b in range(256)], np.uint64)
+        assert np.exp(ctw.log_probability(tree, window, np.full(256, deepest))).sum() == pytest.approx(1, abs=1e-9)
+
+
+def test_ctw_blocks_round_trip():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 56, 5000).astype(np.uint64))
+    counts = rng.integers(0, 1 << 40, (len(keys), 2))
+    cuts = [0, 1, 700, len(keys)]
+    for block, lo, hi in zip(ctw.pack_blocks(keys, counts, cuts), cuts, cuts[1:], strict=False):
+        k, c = ctw.unpack_block(block)
+        assert (k == keys[lo:hi]).all() and (c == counts[lo:hi]).all()
 
 
 @pytest.mark.parametrize(("depth", "grams"), [(1, 10), (2, 20), (5, 40), (5, 10_000)])
@@ -703,6 +708,19 @@ def test_edits_encode_little():
     assert tree.encoded - before < 4 * tokencounts.SEGMENT
 
 
+def test_edits_without_safe_places():
+    """A text that no place cuts is one segment: counts stay right, and an edit costs the segment that it touches."""
+    own, rng = encoding.encoder(tokenizer_path("byte_bpe_50k.json")), random.Random(5)
+    text = "".join(rng.choices("abcdefgh", k=20_000))
+    tree = tokencounts.TokenTree(own.count, text)
+    assert len(list(tree.leaves())) == 1 and tree.tokens == own.count(text)
+    for _ in range(5):
+        at, new = rng.randrange(len(text)), rng.choice(["", "xyz", " a b "])
+        text, before = text[:at] + new + text[at + 4 :], tree.encoded
+        tree.edit(at, at + 4, new)
+        assert tree.text == text and tree.tokens == own.count(text) and tree.encoded - before <= len(text)
+
+
 def test_token_counts_odd_tables(spark, odd):
     edits = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(3).cast("long").alias("end"), F.lit("Zz").alias("text")), F.struct(F.lit(None).cast("long").alias("start"), F.lit(3).cast("long").alias("end"), F.lit(None).cast("string").alias("text")))
     out = _rows(tokencounts.recount(tokencounts.count(odd).withColumn("edits", F.when(F.col("doc_id") == 8, edits)), keep=["doc_id", "text"]))
