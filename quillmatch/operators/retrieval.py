@@ -98,13 +98,22 @@ def name_token(queries: DataFrame, index: Index, config: RetrievalConfig) -> Dat
     return _hits(pairs.groupBy("s1", "cand").agg((F.sum("n") / F.first("usable")).alias("score")), "name_token")
 
 
+#: Postings of a token that meet queries in one task; the queries of more frequent tokens are sent to several.
+POSTINGS = 1_000
+
+
 def address(queries: DataFrame, index: Index, config: RetrievalConfig) -> DataFrame:
     """Share of the query's distinct address tokens; at least two must agree.  Oversized tokens count below the line only."""
     asked = queries.select(F.col("entity_id").alias("s1"), F.explode(F.array_distinct("address_tokens")).alias("token")).filter(F.length("token") >= config.min_token)
     asked = asked.withColumn("usable", F.count("*").over(W.partitionBy("s1")))
-    blocks = index.address_token.groupBy("token").count().filter(F.col("count") <= config.max_block).select("token")
-    postings = index.address_token.join(blocks, "token").withColumnRenamed("entity_id", "cand")
-    hits = asked.join(postings, "token").groupBy("s1", "cand").agg(F.count("*").alias("hits"), F.first("usable").alias("usable"))
+    blocks = index.address_token.groupBy("token").count().filter(F.col("count") <= config.max_block)
+    blocks = blocks.select("token", F.ceil(F.col("count") / POSTINGS).alias("parts"))
+    part = F.pmod(F.xxhash64("entity_id"), F.col("parts")).alias("part")
+    postings = index.address_token.join(blocks, "token").select("token", part, F.col("entity_id").alias("cand"))
+    # a query's token without postings needs no block
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    asked = asked.join(blocks, "token").select("s1", "token", "usable", spread)
+    hits = asked.join(postings, ["token", "part"]).groupBy("s1", "cand").agg(F.count("*").alias("hits"), F.first("usable").alias("usable"))
     return _hits(hits.filter("hits >= 2").withColumn("score", F.col("hits") / F.col("usable")), "address")
 
 
