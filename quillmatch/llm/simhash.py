@@ -283,7 +283,9 @@ def _link(cells: DataFrame, payload: list[str], run, scratch: Scratch, cell_rows
     queries = crowd.filter("root <> largest").select(*kept, mine("bands").alias("band"), "parts").select(*kept, "band", spread("parts").alias("part"), F.lit(0).alias("side"))
     whole = crowd.select(*kept, mine("parts").alias("part"), "bands").select(*kept, spread("bands").alias("band"), "part", F.lit(1).alias("side"))
     across = verify(queries.unionByName(whole), ["grid", "cell", "band", "part"])
-    out = components(edges.unionByName(across), scratch)
+    # what is linked already is a star by now
+    stars = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    out = components(stars.unionByName(across), scratch)
     scratch.drop(whole_crowd, edges, mixed, full)
     return out
 
