@@ -21,7 +21,11 @@ def statistics(truth: DataFrame, candidates: DataFrame, corpus_size: int) -> Dat
     """
     rows = candidates.select("s1", F.array_distinct("ids").alias("c")).join(truth.select("s1", F.array_distinct("ids").alias("t")), "s1", "left")
     t, hit = F.coalesce(F.size("t"), F.lit(0)), F.coalesce(F.size(F.array_intersect("t", "c")), F.lit(0))
-    rows = rows.select(F.size("c").alias("n"), F.greatest(t, F.lit(0)).alias("t"), F.greatest(hit, F.lit(0)).alias("h"))
+    return statistics_by_number(rows.select(F.size("c").alias("n"), F.greatest(t, F.lit(0)).alias("t"), F.greatest(hit, F.lit(0)).alias("h")), corpus_size)
+
+
+def statistics_by_number(rows: DataFrame, corpus_size: int) -> DataFrame:
+    """statistics() of queries with n candidates, t links and h of them among the candidates."""
     or_one = lambda part, whole: F.when(whole == 0, 1.0).otherwise(part / whole)
     product = F.count("*") * corpus_size
     return rows.agg(

@@ -68,6 +68,11 @@ def candidate_measures(truth: DataFrame, candidates: DataFrame) -> DataFrame:
     rows = both.select(
         F.size("t").alias("t"), F.size("c").alias("c"), F.size(hit).alias("h"), of("t", 2).alias("t2"), of("t", 3).alias("t3"), of(hit, 2).alias("h2"), of(hit, 3).alias("h3"),
     )
+    return candidate_measures_by_number(rows)
+
+
+def candidate_measures_by_number(rows: DataFrame) -> DataFrame:
+    """candidate_measures() of queries with t links and h found ones, and those of each source (t2, t3, h2, h3)."""
     rows = rows.withColumn("oracle", f_half(F.col("t"), F.col("h"), F.col("h")))
     whole = (F.col("t") > 0) & (F.col("t") == F.col("h"))
     return rows.agg(
@@ -135,6 +140,18 @@ def errors(truth: DataFrame, predicted: DataFrame, candidates: DataFrame) -> Dat
     return rows.select("s1", F.inline(found)).select("category", "s1", "detail")
 
 
+def error_sizes(rows: DataFrame) -> DataFrame:
+    """(category, s1, errors) of errors(), where there are any, by numbers: t links and h of them among the candidates, p predicted candidates and common links among these."""
+    t, p, common, h = (F.col(c) for c in ("t", "p", "common", "h"))
+    ghost = (t == 0) & (p > 0)
+    sizes = {
+        "retrieval_miss": t - h, "scoring_false_negative": h - common, "false_positive": F.when(ghost, 0).otherwise(p - common), "wrong_singleton": (t == 1) & (p == 1) & (common == 0),
+        "multi_match_partial": (t > 1) & (common < t), "empty_case_false_positive": ghost,
+    }
+    each = F.array(*[F.struct(F.lit(c).alias("category"), n.cast("long").alias("errors")) for c, n in sizes.items()])
+    return rows.select("s1", F.inline(each)).filter("errors > 0").select("category", "s1", "errors")
+
+
 def error_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("category").agg(F.count("*").alias("errors"))
 

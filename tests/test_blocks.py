@@ -113,3 +113,49 @@ def test_pieces_of_a_cell_give_the_same(monkeypatch):
 def test_pairs_found_are_not_shuffled(name, spark, sf_dir):
     plan = catalogue.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\((s1#\d+, cand#\d+|cand#\d+, s1#\d+)", plan)
+
+
+HOT = [*[(f"one hot head of a text that is long {i} and its own last words {i % 3}", i) for i in range(60)], *[(f"own head {i} of many words with the hot last eight words of them all", i) for i in range(60, 120)], ("", 120), ("", 121), ("a lone text", 122)]
+
+
+@pytest.fixture(scope="module")
+def hot_dir(spark, tmp_path_factory):
+    """Documents with heads and tails that many share."""
+    where = str(tmp_path_factory.mktemp("hot"))
+    rows = [(i, t, ("en", None)[i % 2]) for t, i in HOT]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{where}/documents.parquet")
+    return where
+
+
+def test_links_by_number_are_those_listed(spark, hot_dir):
+    from quillmatch.sources import documents
+
+    ends = documents.ends(spark, hot_dir)
+    links = {(r["s1"], r["cand"]) for r in documents.link_pairs(ends).collect()}
+    assert len(links) > 800
+    want = {f"S1-{i}": tuple(sum(s1 == f"S1-{i}" and c.startswith(k) for s1, c in links) for k in ("S", "S2", "S3")) for i in range(123) if i % 3 == 0}
+    assert {r["s1"]: (r["t"], r["t2"], r["t3"]) for r in documents.degrees(ends).collect()} == want
+    ids = spark.createDataFrame([(a, f"S{i % 3 + 1}-{i}") for a in want for i in range(123) if i % 3], "s1 string, cand string")
+    assert {(r["s1"], r["cand"]) for r in documents.marked(ids, ends).filter("hit").collect()} == links
+
+
+LINKED = ["training_pairs_hash", "candidate_eval", "benchmark_stats", "cap_sweep", "error_counts", "eval_macro", "eval_by_country", "eval_per_entity", "oracle_check", "pair_counts", "error_examples"]
+
+
+@pytest.mark.parametrize("name", LINKED)
+def test_links_are_not_listed(name, spark, hot_dir, monkeypatch):
+    """The queries on links of hot heads and tails give the rows of their SQL, and list the links of a few queries at most."""
+    import duckdb
+
+    from quillmatch.sources import documents
+
+    listed, whole = [], documents.link_pairs
+    monkeypatch.setattr(documents, "link_pairs", lambda rows: listed.append(rows.filter("entity_id like 'S1-%'").count()) or whole(rows))
+    ours = catalogue.QUERIES[name](spark, hot_dir).toPandas()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{hot_dir}/documents.parquet/*.parquet'")
+    theirs = connection.execute(catalogue.ORACLE_SQL[name]).df()
+    columns = sorted(ours.columns)
+    ours, theirs = (x[columns].sort_values(columns).reset_index(drop=True) for x in (ours, theirs))
+    assert len(ours) and ours.equals(theirs), (ours, theirs)
+    assert not listed or name == "error_examples" and max(listed) < 41
