@@ -127,7 +127,7 @@ def _count(depth: int):
             given, words = (words, Counter()) if end or len(words) > 300_000 else ({}, words)
             keys, counts = _sum(grams) if grams else (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
             part = part_of(keys, depth)
-            order = np.argsort(part, kind="stable")
+            order = np.argsort(part.astype(np.uint16), kind="stable")  # by radix; PARTS fit
             keys, counts, part = keys[order], counts[order], part[order]
             cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
             blocks = pack_blocks(keys, counts, cuts.tolist())
@@ -244,9 +244,21 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (shifted - 0.5) * np.log(shifted) - shifted + 0.5 * math.log(2 * math.pi) + 1 / (12 * shifted) - 1 / (360 * shifted**3) - low
 
 
+#: _lgamma of n + 1/2 and of n + 1 for the counts that nearly all nodes have.
+_HALVES, _WHOLES = (_lgamma(np.arange(4096) + x) for x in (0.5, 1.0))
+
+
+def _lgamma_of(counts: np.ndarray, more: float, known: np.ndarray) -> np.ndarray:
+    """_lgamma(counts + more) of whole numbers, by the table as far as it goes."""
+    out = known[np.minimum(counts, len(known) - 1).astype(np.int64)]
+    large = np.flatnonzero(counts >= len(known))
+    out[large] = _lgamma(counts[large] + more)
+    return out
+
+
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a block."""
-    return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - math.log(math.pi) - _lgamma(zeros + ones + 1.0)
+    return _lgamma_of(zeros, 0.5, _HALVES) + _lgamma_of(ones, 0.5, _HALVES) - math.log(math.pi) - _lgamma_of(zeros + ones, 1.0, _WHOLES)
 
 
 @dataclass
@@ -308,23 +320,24 @@ def log_probability(tree: Tree, window: np.ndarray, deepest: np.ndarray) -> np.n
     """Natural log of the byte's probability; deepest: the depth of the longest known context of each window (-1: none)."""
     out = np.zeros(len(window))
     byte = window & np.uint64(255)
+    levels = []
+    for d in range(tree.depth, -1, -1):
+        rows = np.flatnonzero(deepest >= d)
+        if len(rows):  # windows with the same last bytes are looked up once
+            kinds, back = np.unique(window[rows] & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
+            levels.append((tree.nodes[d], rows if len(rows) < len(window) else slice(None), kinds, back, np.flatnonzero(deepest[rows] == d)))
     for i in range(8):
-        prefix = (np.uint64(1) << np.uint64(i)) | (byte >> np.uint64(8 - i))
+        prefix = lambda x, i=i: (np.uint64(1) << np.uint64(i)) | (x & np.uint64(255)) >> np.uint64(8 - i)
         bit = ((byte >> np.uint64(7 - i)) & np.uint64(1)).astype(bool)
         p = np.full(len(window), 0.5)
-        for d in range(tree.depth, -1, -1):
-            rows = np.flatnonzero(deepest >= d)
-            if not len(rows):
-                continue
-            key, weight, estimate, rest = tree.nodes[d]
-            context = (window[rows] >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)
-            want = context << np.uint64(8) | prefix[rows]
+        for (key, weight, estimate, rest), rows, kinds, back, last in levels:
+            want = kinds & ~np.uint64(255) | prefix(kinds)
             at = np.minimum(np.searchsorted(key, want), len(key) - 1)
             hit = key[at] == want
-            last = deepest[rows] == d
-            under = np.where(last, np.where(hit, rest[at], 0.5), p[rows])
+            under = p[rows]
+            under[last] = np.where(hit, rest[at], 0.5)[back[last]]
             w = np.where(hit, weight[at], 0.5)
-            p[rows] = w * np.where(hit, estimate[at], 0.5) + (1 - w) * under
+            p[rows] = (w * np.where(hit, estimate[at], 0.5))[back] + (1 - w)[back] * under
         out += np.log(np.where(bit, p, 1 - p))
     return out
 
@@ -355,8 +368,11 @@ class _Table:
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slot = self._slot(keys)
-        hit = (self.keys[slot] == keys) & self.used[slot]
-        left = np.flatnonzero(~hit & self.used[slot])
+        hit = self.keys[slot] == keys
+        zero = np.flatnonzero(hit & (keys == 0))  # as empty slots are
+        hit[zero] = self.used[slot[zero]]
+        left = np.flatnonzero(~hit)
+        left = left[self.used[slot[left]]]
         while len(left):
             slot[left] = (slot[left] + 1) & (self.size - 1)
             now = slot[left]
@@ -434,6 +450,22 @@ def price(merged: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
     return scratch.save(merged.select("block").mapInArrow(_price(least, depth, top), "gram long, uses long, p double"), "priced")
 
 
+def _by_line(which: np.ndarray, lacked: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of ascending lines, sorted in each line, and where runs of equal ones begin.
+
+    Where the line's number fits above a window the two are sorted as one number."""
+    free = 64 - 8 * (depth + 1)
+    if len(which) and which[-1] < 1 << free:
+        both = np.sort(which.astype(np.uint64) << np.uint64(64 - free) | lacked)
+        starts = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        return which, both & np.uint64((1 << (64 - free)) - 1), starts
+    order = np.lexsort((lacked, which))
+    which, lacked = which[order], lacked[order]
+    new = np.ones(len(which), bool)
+    new[1:] = (which[1:] != which[:-1]) | (lacked[1:] != lacked[:-1])
+    return which, lacked, np.flatnonzero(new)
+
+
 def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
     """(id, text, held) -> a row per text, with the words and the windows that the heads lack."""
 
@@ -462,7 +494,7 @@ def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
                 at = 0
                 while at < len(lines):
                     stop, size = at, 0
-                    while stop < len(lines) and (stop == at or size < 500_000):
+                    while stop < len(lines) and (stop == at or size < 500_000 and stop - at < 256):
                         size += len(lines[stop])
                         stop += 1
                     window = windows(lines[at:stop], depth)
@@ -470,11 +502,7 @@ def _score(name: str, depth: int, grams, head, n_total: int, kinds: int):
                     sizes = [len(x) for x in lines[at:stop]]
                     scores[at:stop] = np.add.reduceat(np.where(hit, p, 0), np.cumsum([0, *sizes[:-1]])) / _LN10
                     which, lacked = np.repeat(np.arange(stop - at), sizes)[~hit], window[~hit]
-                    order = np.lexsort((lacked, which))
-                    which, lacked = which[order], lacked[order]
-                    new = np.ones(len(which), bool)
-                    new[1:] = (which[1:] != which[:-1]) | (lacked[1:] != lacked[:-1])
-                    starts = np.flatnonzero(new)
+                    which, lacked, starts = _by_line(which, lacked, depth)
                     rare.append(lacked[starts].view(np.int64))
                     rare_uses.append(np.diff(np.append(starts, len(which))))
                     rare_ends.append(rare_ends[-1][-1] + np.cumsum(np.bincount(which[starts], minlength=stop - at)))

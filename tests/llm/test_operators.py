@@ -308,6 +308,26 @@ def test_ctw_scores_keep_every_context(spark, depth, grams):
         assert found[i] == pytest.approx(_ctw_brute(data[: len(learnt)], t, depth), rel=1e-6)
 
 
+def test_ctw_estimates_of_small_counts_are_looked_up(monkeypatch):
+    plain, asked = ctw._lgamma, []
+    zeros, ones = np.array([0, 3, 4095, 4096, 2_000_000, 7.0]), np.array([0, 9, 1, 70_000, 5, 4093.0])
+    want = plain(zeros + 0.5) + plain(ones + 0.5) - np.log(np.pi) - plain(zeros + ones + 1.0)
+    monkeypatch.setattr(ctw, "_lgamma", lambda x: asked.append(len(x)) or plain(x))
+    np.testing.assert_allclose(ctw.log_estimate(zeros, ones), want, rtol=0, atol=1e-9)
+    assert sum(asked) == 2 + 1 + 4
+
+
+@pytest.mark.parametrize("lines,depth", [(200, 6), (300, 6), (200, 7), (0, 6)])
+def test_ctw_windows_by_line(lines, depth):
+    rng = np.random.default_rng(lines + depth)
+    which = np.repeat(np.arange(lines), 5)
+    lacked = rng.integers(0, 3, len(which)).astype(np.uint64) << np.uint64(8 * depth)
+    got, windows, starts = ctw._by_line(which, lacked, depth)
+    want = sorted(zip(which.tolist(), lacked.tolist(), strict=True))
+    assert list(zip(got.tolist(), windows.tolist(), strict=True)) == want
+    assert starts.tolist() == [i for i, x in enumerate(want) if not i or x != want[i - 1]]
+
+
 def test_ctw_default_depth_is_six(spark):
     learnt = ["to be or not to be that is the question", "not to be", "the question is that"]
     rows = spark.createDataFrame(list(enumerate(learnt)), "doc_id long, text string")
